@@ -205,5 +205,5 @@ def statement(body: str, needs: list[str], ctes: dict[str, tuple[list[str], str]
         visit(name)
     if not ordered:
         return body
-    parts = ",\n".join(f"{name} AS ({ctes[name][1]})" for name in ordered)
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({ctes[name][1]})" for name in ordered)
     return f"WITH {parts}\n{body}"

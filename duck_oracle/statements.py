@@ -277,12 +277,13 @@ FROM (SELECT *, max(markets_present) OVER () AS most FROM v3)""")
 add("revenue_mix", ["v14"], f"""SELECT category, subcategory, total_revenue_usd, revenue_share_pct, avg_margin_pct, product_count,
   markets_served, {half_up("rev2*1000", "sum(rev2) OVER ()")}::DOUBLE/1e1 AS pie_share_pct
 FROM (SELECT *, round(total_revenue_usd*100)::BIGINT AS rev2 FROM v14)""")
-add("price_index_histogram", ["v7"], """SELECT bin::BIGINT AS bin, lo/1e1 + bin*((hi/1e1 - lo/1e1)/30.0::DOUBLE) AS bin_start,
-  lo/1e1 + (bin+1)*((hi/1e1 - lo/1e1)/30.0::DOUBLE) AS bin_end, coalesce(n, 0) AS n
-FROM (SELECT unnest(range(30)) AS bin), (SELECT round(min(avg_price_index)*10)::BIGINT AS lo, round(max(avg_price_index)*10)::BIGINT AS hi FROM v7)
-LEFT JOIN (SELECT least((x - lo)*30 // (hi - lo), 29) AS bin, count(*) AS n
-  FROM (SELECT round(avg_price_index*10)::BIGINT AS x, min(round(avg_price_index*10)::BIGINT) OVER () AS lo,
-    max(round(avg_price_index*10)::BIGINT) OVER () AS hi FROM v7) GROUP BY 1) USING (bin)""")
+CTES["index_bins"] = (["v7"], """
+SELECT least((x - lo)*30 // (hi - lo), 29) AS bin, count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi
+FROM (SELECT x, min(x) OVER () AS lo, max(x) OVER () AS hi FROM (SELECT round(avg_price_index*10)::BIGINT AS x FROM v7)) GROUP BY 1""")
+add("price_index_histogram", ["index_bins"], """SELECT b.bin::BIGINT AS bin, e.lo/1e1 + b.bin*((e.hi/1e1 - e.lo/1e1)/30.0::DOUBLE) AS bin_start,
+  e.lo/1e1 + (b.bin+1)*((e.hi/1e1 - e.lo/1e1)/30.0::DOUBLE) AS bin_end, coalesce(i.n, 0) AS n
+FROM (SELECT unnest(range(30)) AS bin) b CROSS JOIN (SELECT any_value(lo) AS lo, any_value(hi) AS hi FROM index_bins) e
+LEFT JOIN index_bins i ON i.bin = b.bin""")
 add("category_margin_bands", ["v14"], """SELECT category, subcategory, avg_margin_pct,
   CASE WHEN avg_margin_pct >= 55 THEN 'green' WHEN avg_margin_pct >= 45 THEN 'amber' ELSE 'red' END AS margin_band FROM v14""")
 

@@ -51,15 +51,16 @@ def round_ratio(num: Number, den: Number, digits: int, *, scale: int = 2, even:
     even neighbour with ``even=True``.
     """
     num, den = _c(num), F.nullif(_c(den), F.lit(0))
-    doubled = F.abs(num.cast(DecimalType(36 - digits, scale))) * F.lit(Decimal(2 * 10**digits))
-    divisor = F.abs(den)
-    twice = F.call_function("div", doubled, divisor)
-    units = F.shiftright(twice + F.lit(1), 1)
+    doubled = num.cast(DecimalType(36 - digits, scale)) * F.lit(Decimal(2 * 10**digits))
+    twice = F.call_function("div", doubled, den)
+    # ``div`` cuts towards zero, so one step outwards before halving rounds half away from zero.
+    step = F.signum(twice).cast("bigint")
+    units = F.call_function("div", twice + step, F.lit(2))
     if even:
-        tie = ((doubled % divisor) == 0) & ((twice % 2) == 1)
-        units = F.when(tie & ((units % 2) == 1), units - 1).otherwise(units)
-    signed = F.when((num < 0) != (den < 0), -units).otherwise(units).cast(DecimalType(19, 0))
-    return signed * F.lit(Decimal(1).scaleb(-digits)) if digits else signed
+        tie = (twice % 2 != 0) & (units % 2 != 0) & (doubled % den == 0)
+        units = F.when(tie, units - step).otherwise(units)
+    exact = units.cast(DecimalType(19, 0))
+    return exact * F.lit(Decimal(1).scaleb(-digits)) if digits else exact
 
 
 def mean(x: Number, digits: int, *, scale: int = 2, even: bool = False) -> Column:

@@ -35,14 +35,34 @@ def dq_foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: st
 
 
 def foreign_key_report(tables: Mapping[str, DataFrame], references: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """(child_table, key, orphan_keys, orphan_rows) for every declared reference."""
-    reports = [
-        dq_foreign_key(tables[child], key, tables[parent])
-        .agg(F.count("*").alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
-        .select(F.lit(child).alias("child_table"), F.lit(key).alias("key"), "orphan_keys", "orphan_rows")
-        for child, key, parent in references
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    """(child_table, key, orphan_keys, orphan_rows) for every declared (child, key, parent).
+
+    Each child is scanned once for all its keys and reduced to distinct (key, value) pairs before
+    the one anti-join against the parents' values.
+    """
+    keys_of: dict[str, list[str]] = {}
+    parent_of: dict[str, str] = {}
+    for child, key, parent in references:
+        keys_of.setdefault(child, []).append(key)
+        parent_of[key] = parent
+
+    def pairs(df: DataFrame, keys: Sequence[str], child: str | None = None) -> DataFrame:
+        cells = [F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys]
+        labels = [F.lit(child).alias("child_table")] if child else []
+        return df.select(*labels, F.inline(F.array(*cells)))
+
+    children = [pairs(tables[child], keys, child) for child, keys in keys_of.items()]
+    parents = [pairs(tables[parent], [key]) for key, parent in parent_of.items()]
+    used = (
+        reduce(DataFrame.unionByName, children)
+        .groupBy("child_table", "key", "value").agg(F.count("*").alias("row_count"))
+    )
+    orphan = F.col("_known").isNull() & F.col("value").isNotNull()
+    known = reduce(DataFrame.unionByName, parents).withColumn("_known", F.lit(True))
+    return used.join(known, ["key", "value"], "left").groupBy("child_table", "key").agg(
+        F.count_if(orphan).alias("orphan_keys"),
+        F.sum(F.when(orphan, F.col("row_count")).otherwise(F.lit(0))).alias("orphan_rows"),
+    )
 
 
 def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -20,11 +20,14 @@ HASH_BOUNDS = (-(2.0**63), 2.0**63)
 
 
 def _bucket(value: Column, lo: Column, hi: Column, descending: bool) -> Column:
-    """Order-preserving bucket number 0..RANK_BUCKETS-1; NULLs go to the bucket after the last."""
+    """Order-preserving bucket number 0..RANK_BUCKETS-1; NULLs go to the bucket after the last.
+
+    Values outside lo..hi go to the outermost buckets, so a rough range only costs balance.
+    """
     x, lo, hi = (c.cast("double") for c in (value, lo, hi))
     width = F.nullif(hi - lo, F.lit(0.0))
-    place = F.floor((x - lo) / width * RANK_BUCKETS).cast("int")
-    place = F.least(F.coalesce(place, F.lit(0)), F.lit(RANK_BUCKETS - 1))
+    scaled = F.coalesce((x - lo) / width, F.lit(0.0)) * RANK_BUCKETS
+    place = F.least(F.greatest(F.floor(scaled), F.lit(0)), F.lit(RANK_BUCKETS - 1)).cast("int")
     if descending:
         place = F.lit(RANK_BUCKETS - 1) - place
     return F.when(value.isNull(), F.lit(RANK_BUCKETS)).otherwise(place)
@@ -43,8 +46,8 @@ def with_rank(
 
     NULLs come last. Rows are numbered inside value buckets, in parallel, and shifted by the
     number of rows in earlier buckets; only the bucket counts (at most 4,097 rows) meet in one
-    task, and that is also all that is broadcast. ``bounds`` gives a known value range and saves
-    the pass that finds it.
+    task, and that is also all that is broadcast. ``bounds`` gives the usual value range and saves
+    the pass that finds it; a value beyond it is still ranked exactly.
     """
     if bounds:
         lo, hi = (F.lit(b) for b in bounds)

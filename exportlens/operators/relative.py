@@ -11,19 +11,23 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exportlens.functions import as_double, round_ratio
+from exportlens.functions import as_double, dec, pct, round_ratio
+
+
+def with_totals(df: DataFrame, totals: DataFrame, exprs: dict[str, Column]) -> DataFrame:
+    """Attach aggregates of another frame to every row, each as one column."""
+    return df.withColumns({name: totals.agg(expr.alias(name)).scalar() for name, expr in exprs.items()})
 
 
 def with_total(df: DataFrame, totals: DataFrame, expr: Column, name: str = "total") -> DataFrame:
     """Attach one aggregate of another frame to every row."""
-    return df.withColumn(name, totals.agg(expr.alias(name)).scalar())
+    return with_totals(df, totals, {name: expr})
 
 
 def share_of_total(df: DataFrame, col: str, digits: int, *, scale: int = 2, name: str = "share_pct") -> DataFrame:
     """Percent of the column total, rounded exactly."""
-    total = df.agg(F.sum(col)).scalar()
-    part = F.col(col).cast(f"decimal(30,{scale})") * F.lit(Decimal(100))
-    return df.withColumn(name, round_ratio(part, total, digits, scale=scale))
+    out = with_total(df, df, F.sum(col), "_total")
+    return out.withColumn(name, pct(col, "_total", digits, scale=scale)).drop("_total")
 
 
 def min_max_scale(
@@ -33,32 +37,31 @@ def min_max_scale(
 
     The fraction is formed from exact differences. A constant column has no spread and gives NULL.
     """
-    out = {}
-    for col, name in cols.items():
-        x = F.col(col).cast(f"decimal(20,{scale})")
-        least = df.agg(F.min(x)).scalar()
-        most = df.agg(F.max(x)).scalar()
-        spread = most - least
+    edges, out = {}, {}
+    for i, (col, name) in enumerate(cols.items()):
+        x = dec(col, 20, scale)
+        edges |= {f"_lo{i}": F.min(x), f"_hi{i}": F.max(x)}
+        least, spread = F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}")
         num = (x - least) * F.lit(Decimal(hi - lo)) + spread * F.lit(Decimal(lo))
         out[name] = round_ratio(num, spread, digits, scale=scale, even=True)
-    return df.withColumns(out)
+    return with_totals(df, df, edges).withColumns(out).drop(*edges)
 
 
 def ratio_to_max(
     df: DataFrame, col: str, k: int, *, digits: int = 2, scale: int = 2, plus: int = 0, name: str = "ratio"
 ) -> DataFrame:
     """``col / max(col) * k + plus``, half-even rounding."""
-    x = F.col(col).cast(f"decimal(20,{scale})")
-    most = df.agg(F.max(x)).scalar()
-    num = x * F.lit(Decimal(k)) + most * F.lit(Decimal(plus))
-    return df.withColumn(name, round_ratio(num, most, digits, scale=scale, even=True))
+    x = dec(col, 20, scale)
+    num = x * F.lit(Decimal(k)) + F.col("_most") * F.lit(Decimal(plus))
+    ratio = round_ratio(num, F.col("_most"), digits, scale=scale, even=True)
+    return with_total(df, df, F.max(x), "_most").withColumn(name, ratio).drop("_most")
 
 
 def ratio_to_mean(df: DataFrame, col: str, *, name: str = "ratio") -> DataFrame:
     """``col / mean(col)`` as a double, from an exact decimal total."""
-    total = df.agg(F.sum(col)).scalar()
-    count = df.agg(F.count(col)).scalar()
-    return df.withColumn(name, as_double(F.col(col)) / (as_double(total) / as_double(count)))
+    mean = as_double("_sum") / as_double("_count")
+    out = with_totals(df, df, {"_sum": F.sum(col), "_count": F.count(col)})
+    return out.withColumn(name, as_double(col) / mean).drop("_sum", "_count")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30, *, scale: int = 1) -> DataFrame:
@@ -67,16 +70,19 @@ def histogram(df: DataFrame, col: str, bins: int = 30, *, scale: int = 1) -> Dat
     Bin numbers come from exact arithmetic. A constant column falls into the middle bin of a range
     one wide around it.
     """
-    values = df.select(F.col(col).cast(f"decimal(20,{scale})").alias("x")).where("x IS NOT NULL")
-    edge = lambda agg: values.agg(agg("x")).scalar()
-    half = F.when(edge(F.max) == edge(F.min), F.lit(Decimal("0.5"))).otherwise(F.lit(Decimal("0.0")))
-    lo, hi = edge(F.min) - half, edge(F.max) + half
+    values = df.select(dec(col, 20, scale).alias("x")).where("x IS NOT NULL")
+    edges = {"_min": F.min("x"), "_max": F.max("x")}
+    half = F.when(F.col("_min") == F.col("_max"), F.lit(Decimal("0.5"))).otherwise(F.lit(Decimal("0.0")))
+    lo, hi = F.col("_min") - half, F.col("_max") + half
     place = F.call_function("div", (F.col("x") - lo) * F.lit(Decimal(bins)), hi - lo)
     counts = (
-        values.select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
+        with_totals(values, values, edges)
+        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = with_totals(
+        df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")), values, edges
+    )
     width = (as_double(hi) - as_double(lo)) / F.lit(float(bins))
     return every.join(counts, "bin", "left").select(
         "bin",

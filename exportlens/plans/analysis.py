@@ -105,7 +105,7 @@ def score_markets(v2: DataFrame, weights: dict[str, Decimal] = PRIORITY_WEIGHTS)
 
 def market_ranking(scored: DataFrame) -> DataFrame:
     """Markets by falling priority with their position."""
-    return with_rank(scored, "priority_score", ["market_id"]).select(
+    return with_rank(scored, "priority_score", ["market_id"], bounds=(0, 10)).select(
         "rank", "market_id", "country", "region", "final_score", "priority_score", "entry_tier",
         "market_size_usd_mn",
     )
@@ -195,7 +195,8 @@ def landed_cost_rollup(v4: DataFrame) -> DataFrame:
 
 def landed_cost_by_market(v4: DataFrame) -> DataFrame:
     """Market means ranked by exporter margin, with the margin's traffic light."""
-    ranked = with_rank(landed_cost_rollup(v4), "avg_exporter_margin", ["country", "region"])
+    rollup = landed_cost_rollup(v4)
+    ranked = with_rank(rollup, "avg_exporter_margin", ["country", "region"], bounds=(0, 100))
     return ranked.withColumn("margin_band", margin_band("avg_exporter_margin"))
 
 

@@ -53,17 +53,23 @@ PRIORITY_WEIGHTS = {
 GDP_WEIGHT = Decimal("0.08")
 
 
+def _versus(total: Column | str, count: Column | str, limit: str) -> tuple[Column, Column]:
+    """Both sides of ``total / count`` against ``limit``, compared without dividing.
+
+    The widths are stated because Spark gives up fraction digits when it widens two large decimals
+    to a common type.
+    """
+    return dec(total, 26, 4), dec(count, 16, 0) * F.lit(Decimal(limit))
+
+
 def _above(total: Column | str, count: Column | str, limit: str) -> Column:
-    """Whether total / count exceeds ``limit``, compared without dividing."""
-    total = F.col(total) if isinstance(total, str) else total
-    count = F.col(count) if isinstance(count, str) else count
-    return total > dec(count, 16, 0) * F.lit(Decimal(limit))
+    ours, bound = _versus(total, count, limit)
+    return ours > bound
 
 
 def _below(total: Column | str, count: Column | str, limit: str) -> Column:
-    total = F.col(total) if isinstance(total, str) else total
-    count = F.col(count) if isinstance(count, str) else count
-    return total < dec(count, 16, 0) * F.lit(Decimal(limit))
+    ours, bound = _versus(total, count, limit)
+    return ours < bound
 
 
 def not_cancelled(orders: DataFrame) -> DataFrame:
@@ -486,7 +492,7 @@ def competitor_benchmark(pricing: DataFrame, markets: DataFrame, products: DataF
     gap_pct = F.when(same, round_ratio((ours - theirs) * 100, theirs, 2)).otherwise(
         round_ratio(dec(gap_mean, 24, 10) * 100, dec(their_mean, 24, 10), 2, scale=10)
     )
-    index, index_n = F.col("avg_price_index_s"), "avg_price_index_n"
+    index, index_n = "avg_price_index_s", "avg_price_index_n"
     return df.select(
         *keys,
         *[round_ratio(f"{n}_s", f"{n}_n", d, scale=s).alias(n) for n, (_, s, d) in means.items()],
@@ -496,9 +502,7 @@ def competitor_benchmark(pricing: DataFrame, markets: DataFrame, products: DataF
             [
                 (_above(index, index_n, "115"), L.OVERPRICED),
                 (_below(index, index_n, "85"), L.UNDERPRICED),
-                (index.between(
-                    dec(index_n, 16, 0) * F.lit(Decimal(95)), dec(index_n, 16, 0) * F.lit(Decimal(110))
-                ), L.OPTIMALLY_PRICED),
+                (~_below(index, index_n, "95") & ~_above(index, index_n, "110"), L.OPTIMALLY_PRICED),
             ],
             L.FINE_TUNE,
         ).alias("pricing_recommendation"),
@@ -581,7 +585,7 @@ def returns_analysis(
         *[F.sum(s).alias(s) for s in states],
         mode_of("return_reason", "_rows").alias("top_return_reason"),
     )
-    loss, revenue = F.col("total_return_loss_usd"), dec("total_revenue_usd", 22, 2)
+    loss, revenue = dec("total_return_loss_usd", 24, 2), dec("total_revenue_usd", 22, 2)
     over = lambda share: (revenue > 0) & (loss > revenue * F.lit(Decimal(share)))
     return df.select(
         *keys[:6], dec("total_revenue_usd", 26, 2).alias("total_revenue_usd"),

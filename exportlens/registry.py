@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -347,8 +348,14 @@ BUILDERS: dict[str, Callable[[StarTables], DataFrame]] = {
 }
 
 
+@lru_cache(maxsize=2)
+def _tables(spark: SparkSession, path: str) -> StarTables:
+    """One set of lazy table plans per session and folder; holds no data."""
+    return StarTables(spark, path)
+
+
 def _query(build: Callable[[StarTables], DataFrame]) -> Query:
-    return lambda spark, path: plain(build(StarTables(spark, path)))
+    return lambda spark, path: plain(build(_tables(spark, path)))
 
 
 QUERIES: dict[str, Query] = {name: _query(build) for name, build in BUILDERS.items()}

@@ -75,7 +75,8 @@ def main() -> int:
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     con, statements, failed = connect(folder), oracle_sql(), 0
