@@ -12,9 +12,11 @@ from exportlens.functions.exact import (
     mean_double,
     money_sum,
     pct,
+    rate_pct,
     ratio_of_sums,
     round_half_even,
     round_half_up,
+    round_mean,
     round_ratio,
     safe_div,
     scale_units,
@@ -25,6 +27,7 @@ from exportlens.functions.text import days_since, ordered_join, padded_id, short
 __all__ = [
     "as_double", "avg_ratio", "avg_when", "band", "bin_right", "clamp", "count_when",
     "days_since", "dec", "mean", "mean_double", "money_sum", "ordered_join", "padded_id", "pct",
-    "ratio_of_sums", "round_half_even", "round_half_up", "round_ratio", "safe_div",
+    "rate_pct", "ratio_of_sums", "round_half_even", "round_half_up", "round_mean", "round_ratio",
+    "safe_div",
     "scale_units", "short_text", "sum_when", "tag_contains",
 ]

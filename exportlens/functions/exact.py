@@ -4,9 +4,12 @@ KPIs are money, so every rounded number is the correctly rounded value of the ex
 results do not depend on row order, partitioning or task retries, which a sum of doubles does.
 
 Spark's decimal division keeps as few as six fraction digits once the operands are wide (sums
-are), and rounding such a quotient again can move a value by one unit. ``round_ratio`` therefore
-divides integers: ``div`` gives the floor of twice the scaled quotient, and halving that decides
-the last digit.
+are), and rounding such a quotient again can move a value by one unit. Two helpers avoid that:
+
+* ``round_mean`` divides by a count. It states operand widths that leave 17 or 18 fraction digits;
+  a quotient by a count below 10^12 that is not a tie at four digits is further than that from one.
+* ``round_ratio`` divides by any exact number. ``div`` gives twice the scaled quotient cut to an
+  integer, and halving that decides the last digit, so no quotient is ever rounded twice.
 """
 
 from __future__ import annotations
@@ -63,9 +66,20 @@ def round_ratio(num: Number, den: Number, digits: int, *, scale: int = 2, even:
     return exact * F.lit(Decimal(1).scaleb(-digits)) if digits else exact
 
 
+def round_mean(total: Number, count: Number, digits: int, *, scale: int = 2, even: bool = False) -> Column:
+    """``total / count`` rounded once; ``count`` is a whole number, 0 gives NULL.
+
+    ``scale`` is the number of fraction digits ``total`` carries.
+    """
+    quotient = _c(total).cast(DecimalType(20 + scale, scale)) / F.nullif(_c(count), F.lit(0)).cast(
+        DecimalType(16, 0)
+    )
+    return F.bround(quotient, digits) if even else F.round(quotient, digits)
+
+
 def mean(x: Number, digits: int, *, scale: int = 2, even: bool = False) -> Column:
     """Aggregate: AVG(x) rounded exactly. NULLs are skipped, as in SQL."""
-    return round_ratio(F.sum(_c(x)), F.count(_c(x)), digits, scale=scale, even=even)
+    return round_mean(F.sum(_c(x)), F.count(_c(x)), digits, scale=scale, even=even)
 
 
 def as_double(x: Number) -> Column:
@@ -95,12 +109,17 @@ def avg_ratio(a: Number, b: Number, digits: int, *, scale: int) -> Column:
     return mean(safe_div(a, b), digits, scale=scale)
 
 
-def pct(part: Number, whole: Number, digits: int = 2, *, scale: int = 0) -> Column:
-    """``part / whole * 100`` rounded exactly. ``scale`` is that of ``part``."""
+def pct(part: Number, whole: Number, digits: int = 2, *, scale: int = 2) -> Column:
+    """``part / whole * 100`` of two amounts, rounded exactly. ``scale`` is that of ``part``."""
     hundredfold = _c(part).cast(DecimalType(30, scale)) * F.lit(Decimal(100))
     return round_ratio(hundredfold, whole, digits, scale=scale)
 
 
+def rate_pct(part: Number, whole: Number, digits: int = 2) -> Column:
+    """``part / whole * 100`` of two counts, rounded exactly."""
+    return round_mean(_c(part).cast(DecimalType(18, 0)) * F.lit(100), whole, digits, scale=0)
+
+
 def count_when(pred: Column) -> Column:
     """Aggregate: rows where ``pred`` holds (NULL counts as false)."""
     return F.count_if(pred)

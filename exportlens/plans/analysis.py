@@ -27,7 +27,9 @@ from exportlens.functions import (
     mean_double,
     ordered_join,
     pct,
+    rate_pct,
     round_half_even,
+    round_mean,
     round_ratio,
     scale_units,
     short_text,
@@ -240,7 +242,7 @@ def cost_waterfall(v4: DataFrame) -> DataFrame:
 
     The first and the last bar stand on 0; a cost hangs from the running total before it.
     """
-    exact = lambda c: round_ratio(F.sum(c), F.count(c), 10, scale=4)
+    exact = lambda c: round_mean(F.sum(c), F.count(c), 10, scale=4)
     means = v4.agg(*[exact(_MARKET_MEANS[c]).alias(c) for c in ["avg_fob", *COMPONENT_LABELS]])
     net = F.col("avg_fob")
     for cost in COMPONENT_LABELS:
@@ -422,7 +424,7 @@ def revenue_by_month_pivot(trend: DataFrame, years: list[int]) -> DataFrame:
 def seasonality_index(trend: DataFrame) -> DataFrame:
     """Month mean over the mean of the month means, with its band."""
     monthly = _by(trend, "month_num").agg(
-        round_ratio(F.sum("revenue_usd"), F.count("revenue_usd"), 6).alias("mean_revenue_usd")
+        round_mean(F.sum("revenue_usd"), F.count("revenue_usd"), 6).alias("mean_revenue_usd")
     )
     df = ratio_to_mean(monthly, "mean_revenue_usd", name="seasonality_index")
     index = F.col("seasonality_index")
@@ -493,7 +495,7 @@ def return_loss_share(v8: DataFrame, v15: DataFrame) -> DataFrame:
     """Total return loss and its share of master revenue."""
     total = v8.agg(_total("total_return_loss_usd").cast("decimal(28,2)").alias("total_return_loss_usd"))
     df = with_total(total, v15, F.max("total_revenue_usd"), "total_revenue_usd")
-    return df.withColumn("loss_pct_of_revenue", pct("total_return_loss_usd", "total_revenue_usd", 2, scale=2))
+    return df.withColumn("loss_pct_of_revenue", pct("total_return_loss_usd", "total_revenue_usd", 2))
 
 
 def top_return_reasons(v8: DataFrame, n: int = 3) -> DataFrame:
@@ -510,7 +512,7 @@ def delay_rollup(v6: DataFrame) -> DataFrame:
         _total("total_demurrage_usd").cast("decimal(30,2)").alias("total_dem"),
     ).withColumn(
         "delay_pct",
-        round_ratio(F.col("delayed_ships").cast("decimal(18,0)") * 100, "total_ships", 2, scale=0, even=True),
+        round_mean(F.col("delayed_ships").cast("decimal(18,0)") * 100, "total_ships", 2, scale=0, even=True),
     )
 
 
@@ -521,7 +523,7 @@ def delay_by_market(v6: DataFrame, n: int = 3) -> DataFrame:
     """
     top = top_n(delay_rollup(v6), [F.col("delay_pct").desc_nulls_last(), F.col("country")], n, rank="rank")
     late, all_ = _total("delayed_shipments").cast("decimal(18,0)"), _total("total_shipments")
-    top = with_total(top, v6, round_ratio(late * 100, all_, 1, scale=0, even=True), "overall_delay_pct")
+    top = with_total(top, v6, round_mean(late * 100, all_, 1, scale=0, even=True), "overall_delay_pct")
     return with_total(top, v6, _total("total_demurrage_usd").cast("decimal(30,2)"), "overall_demurrage_usd")
 
 
@@ -531,7 +533,7 @@ def payment_distribution(v12: DataFrame) -> DataFrame:
     whole = sum((F.col(c) for c in list(STATUS_LABELS)[1:]), F.col("paid_on_time"))
     totals = totals.withColumn("_all", whole)
     long = unpivot(totals, ["_all"], STATUS_LABELS, variable="payment_status", value="orders", value_type="bigint")
-    return long.select("payment_status", "orders", pct("orders", "_all", 1).alias("share_pct"))
+    return long.select("payment_status", "orders", rate_pct("orders", "_all", 1).alias("share_pct"))
 
 
 def return_loss_by_market(v8: DataFrame, n: int = 10) -> DataFrame:

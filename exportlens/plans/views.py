@@ -23,6 +23,8 @@ from exportlens.functions import (
     mean,
     money_sum,
     pct,
+    rate_pct,
+    round_mean,
     round_ratio,
     scale_units,
     sum_when,
@@ -99,9 +101,9 @@ def executive_revenue(orders: DataFrame) -> DataFrame:
         money_sum("total_cogs_inr").alias("total_cogs_inr"),
         money_sum("gross_profit_inr").alias("total_gross_profit_inr"),
         mean("gross_margin_pct", 2).alias("avg_gross_margin_pct"),
-        round_ratio(F.sum("total_fob_value_usd"), F.count("order_id"), 2).alias("avg_order_value_usd"),
+        round_mean(F.sum("total_fob_value_usd"), F.count("order_id"), 2).alias("avg_order_value_usd"),
         count_when(repeat).alias("repeat_orders"),
-        pct(count_when(repeat), F.count("order_id")).alias("repeat_order_rate_pct"),
+        rate_pct(count_when(repeat), F.count("order_id")).alias("repeat_order_rate_pct"),
         count_when(F.col("order_status") == "Cancelled").alias("cancelled_orders"),
         count_when(overdue).alias("overdue_payments"),
         sum_when(overdue, "total_fob_value_usd").cast("decimal(26,2)").alias("overdue_value_usd"),
@@ -121,14 +123,14 @@ def channel_performance(orders: DataFrame) -> DataFrame:
         money_sum("gross_profit_inr").alias("total_gp_inr"),
         mean("gross_margin_pct", 2).alias("avg_margin_pct"),
         mean("discount_pct", 2).alias("avg_discount_pct"),
-        round_ratio(F.sum("total_fob_value_usd"), F.count("order_id"), 2).alias("avg_order_value_usd"),
+        round_mean(F.sum("total_fob_value_usd"), F.count("order_id"), 2).alias("avg_order_value_usd"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.countDistinct("market_id").alias("markets_reached"),
         count_when(repeat).alias("repeat_orders"),
-        pct(count_when(repeat), F.count("order_id")).alias("repeat_rate_pct"),
+        rate_pct(count_when(repeat), F.count("order_id")).alias("repeat_rate_pct"),
         count_when(F.col("payment_status") == "Overdue").alias("overdue_orders"),
         count_when(cancelled).alias("cancelled_orders"),
-        pct(count_when(cancelled), F.count("order_id")).alias("cancellation_rate_pct"),
+        rate_pct(count_when(cancelled), F.count("order_id")).alias("cancellation_rate_pct"),
     )
 
 
@@ -154,7 +156,7 @@ def category_mix(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
     total = money_sum("total_fob_value_usd")
     with_sum = with_total(grouped, live, total, "_total")
-    share = pct("total_revenue_usd", "_total", 2, scale=2)
+    share = pct("total_revenue_usd", "_total", 2)
     # The squared share keeps 15 digits of the fraction, more than a double square would.
     fraction = round_ratio("total_revenue_usd", "_total", 15)
     hhi = dec(fraction, 17, 15) * dec(fraction, 17, 15) * F.lit(Decimal(10000))
@@ -186,7 +188,7 @@ def seasonal_intelligence(orders: DataFrame, markets: DataFrame, products: DataF
     return df.select(
         *keys, "total_orders", "total_units",
         dec("total_revenue_usd", 26, 2).alias("total_revenue_usd"),
-        round_ratio("_margin", "_margin_n", 2).alias("avg_margin_pct"),
+        round_mean("_margin", "_margin_n", 2).alias("avg_margin_pct"),
         "revenue_rank_in_year",
         band(
             [
@@ -226,7 +228,7 @@ def market_entry_readiness(
         mean("total_transit_days", 1, scale=0).alias("avg_transit_days"),
         mean("landed_to_fob_ratio", 4, scale=4).alias("avg_lc_fob_ratio"),
         money_sum("demurrage_charges_usd").alias("total_demurrage_usd"),
-        pct(count_when(delayed), F.count("*")).alias("delay_rate_pct"),
+        rate_pct(count_when(delayed), F.count("*")).alias("delay_rate_pct"),
     )
     measures = [
         "total_orders", "total_revenue_usd", "avg_margin_pct", "unique_buyers", "avg_transit_days",
@@ -271,7 +273,7 @@ def product_export_scorecard(
         mean("landed_to_fob_ratio", 4, scale=4).alias("avg_lc_fob_ratio"),
         mean("exporter_net_margin_usd", 2).alias("avg_exporter_margin_usd"),
         money_sum("demurrage_charges_usd").alias("total_demurrage_usd"),
-        pct(count_when(F.col("is_delayed") == "Y"), F.count("*")).alias("delay_rate_pct"),
+        rate_pct(count_when(F.col("is_delayed") == "Y"), F.count("*")).alias("delay_rate_pct"),
     )
     prices = pricing.groupBy("product_id").agg(
         mean("our_price_usd", 2).alias("avg_sell_price_usd"),
@@ -404,10 +406,10 @@ def landed_cost_analysis(
     ratio_sum, ratio_n = "landed_to_fob_ratio_s", "landed_to_fob_ratio_n"
     return df.select(
         *keys, "total_shipments",
-        round_ratio("net_fob_price_usd_s", "net_fob_price_usd_n", 4, scale=4).alias("avg_fob_per_unit_usd"),
-        *[round_ratio(f"{n}_s", f"{n}_n", 4, scale=13).alias(n) for n in _PER_UNIT],
-        *[round_ratio(f"{n}_s", f"{n}_n", d, scale=17).alias(n) for n, (_, _, d) in _PERCENT.items()],
-        round_ratio(ratio_sum, ratio_n, 4, scale=4).alias("avg_lc_fob_ratio"),
+        round_mean("net_fob_price_usd_s", "net_fob_price_usd_n", 4, scale=4).alias("avg_fob_per_unit_usd"),
+        *[round_mean(f"{n}_s", f"{n}_n", 4, scale=13).alias(n) for n in _PER_UNIT],
+        *[round_mean(f"{n}_s", f"{n}_n", d, scale=17).alias(n) for n, (_, _, d) in _PERCENT.items()],
+        round_mean(ratio_sum, ratio_n, 4, scale=4).alias("avg_lc_fob_ratio"),
         dec("total_demurrage_usd", 26, 2).alias("total_demurrage_usd"),
         band(
             [(_above(ratio_sum, ratio_n, "1.30"), L.HIGH_COST_ROUTE),
@@ -440,12 +442,12 @@ def shipment_delay(shipments: DataFrame, markets: DataFrame) -> DataFrame:
     late, all_ = F.col("delayed_shipments").cast("decimal(20,0)"), "total_shipments"
     return df.select(
         *keys, "total_shipments", "delayed_shipments",
-        pct("delayed_shipments", "total_shipments").alias("delay_rate_pct"),
-        round_ratio("_delay", "_delay_n", 1, scale=0).alias("avg_delay_days"),
-        round_ratio("_transit", "_transit_n", 1, scale=0).alias("avg_transit_days"),
-        round_ratio("_customs", "_customs_n", 1, scale=0).alias("avg_customs_days"),
+        rate_pct("delayed_shipments", "total_shipments").alias("delay_rate_pct"),
+        round_mean("_delay", "_delay_n", 1, scale=0).alias("avg_delay_days"),
+        round_mean("_transit", "_transit_n", 1, scale=0).alias("avg_transit_days"),
+        round_mean("_customs", "_customs_n", 1, scale=0).alias("avg_customs_days"),
         dec("total_demurrage_usd", 26, 2).alias("total_demurrage_usd"),
-        round_ratio("total_demurrage_usd", "_demurrage_n", 2).alias("avg_demurrage_per_shipment"),
+        round_mean("total_demurrage_usd", "_demurrage_n", 2).alias("avg_demurrage_per_shipment"),
         dec("total_freight_usd", 26, 2).alias("total_freight_usd"),
         band(
             [(_above(late, all_, "0.25"), L.DELAY_CRITICAL), (_above(late, all_, "0.12"), L.DELAY_WARNING)],
@@ -488,14 +490,14 @@ def competitor_benchmark(pricing: DataFrame, markets: DataFrame, products: DataF
     )
     their_mean = theirs / F.nullif(dec(theirs_n, 16, 0), F.lit(0))
     same = ours_n == theirs_n
-    gap = F.when(same, round_ratio(ours - theirs, ours_n, 2)).otherwise(dec(F.round(gap_mean, 2), 21, 2))
+    gap = F.when(same, round_mean(ours - theirs, ours_n, 2)).otherwise(dec(F.round(gap_mean, 2), 21, 2))
     gap_pct = F.when(same, round_ratio((ours - theirs) * 100, theirs, 2)).otherwise(
         round_ratio(dec(gap_mean, 24, 10) * 100, dec(their_mean, 24, 10), 2, scale=10)
     )
     index, index_n = "avg_price_index_s", "avg_price_index_n"
     return df.select(
         *keys,
-        *[round_ratio(f"{n}_s", f"{n}_n", d, scale=s).alias(n) for n, (_, s, d) in means.items()],
+        *[round_mean(f"{n}_s", f"{n}_n", d, scale=s).alias(n) for n, (_, s, d) in means.items()],
         gap.alias("price_gap_usd"),
         gap_pct.alias("price_gap_pct"),
         band(
@@ -536,7 +538,7 @@ def demand_intelligence(demand: DataFrame, markets: DataFrame, products: DataFra
     growth = ("avg_yoy_growth_pct_s", "avg_yoy_growth_pct_n")
     return df.select(
         *keys, *totals,
-        *[round_ratio(f"{n}_s", f"{n}_n", d, scale=s).alias(n) for n, (_, s, d) in means.items()],
+        *[round_mean(f"{n}_s", f"{n}_n", d, scale=s).alias(n) for n, (_, s, d) in means.items()],
         band(
             [(_above(*growth, "25"), L.DEMAND_HIGH), (_above(*growth, "10"), L.DEMAND_GROWING),
              (_above(*growth, "0"), L.DEMAND_STABLE)],
@@ -590,13 +592,13 @@ def returns_analysis(
     return df.select(
         *keys[:6], dec("total_revenue_usd", 26, 2).alias("total_revenue_usd"),
         "total_returns", "total_return_units",
-        pct("total_returns", "total_orders").alias("return_rate_pct"),
+        rate_pct("total_returns", "total_orders").alias("return_rate_pct"),
         dec(loss, 26, 2).alias("total_return_loss_usd"),
         dec("total_refund_usd", 26, 2).alias("total_refund_usd"),
         dec("total_return_ship_usd", 26, 2).alias("total_return_ship_usd"),
-        round_ratio("_days", "_days_n", 1, scale=0).alias("avg_days_to_return"),
+        round_mean("_days", "_days_n", 1, scale=0).alias("avg_days_to_return"),
         "top_return_reason",
-        pct(loss, revenue, 2, scale=2).alias("return_loss_pct_of_revenue"),
+        pct(loss, revenue, 2).alias("return_loss_pct_of_revenue"),
         band([(over("0.08"), L.RETURNS_CRITICAL), (over("0.04"), L.RETURNS_ELEVATED)], L.RETURNS_ACCEPTABLE)
         .alias("return_risk_flag"),
     )
@@ -624,7 +626,7 @@ def forex_impact(orders: DataFrame, markets: DataFrame, forex: DataFrame) -> Dat
         "year", "month", "currency",
         dec("revenue_usd", 20, 2).alias("revenue_usd"),
         dec("revenue_inr_actual", 22, 2).alias("revenue_inr_actual"),
-        round_ratio("_rate", "_rate_n", 4, scale=4).alias("avg_rate_used"),
+        round_mean("_rate", "_rate_n", 4, scale=4).alias("avg_rate_used"),
     )
     at_benchmark = F.col("revenue_usd") * dec("benchmark_rate", 10, 4)
     gain = dec(F.col("revenue_inr_actual") - at_benchmark, 30, 6)
@@ -661,9 +663,9 @@ def payment_risk(orders: DataFrame, markets: DataFrame) -> DataFrame:
     return df.select(
         *keys, "total_orders", dec("total_billed_usd", 26, 2).alias("total_billed_usd"), *statuses,
         dec("overdue_value_usd", 26, 2).alias("overdue_value_usd"),
-        pct("paid_on_time", "total_orders").alias("on_time_rate_pct"),
-        round_ratio("_delay", "_delay_n", 1, scale=0).alias("avg_delay_days"),
-        round_ratio("_dso", "_dso_n", 1, scale=0).alias("avg_dso_days"),
+        rate_pct("paid_on_time", "total_orders").alias("on_time_rate_pct"),
+        round_mean("_delay", "_delay_n", 1, scale=0).alias("avg_delay_days"),
+        round_mean("_dso", "_dso_n", 1, scale=0).alias("avg_dso_days"),
         band([(_above(*delay, "20"), L.RISK_HIGH), (_above(*delay, "10"), L.RISK_MODERATE)], L.RISK_LOW)
         .alias("payment_risk_flag"),
     )
@@ -709,7 +711,7 @@ def master_summary(
         F.lit(label).alias("summary_level"),
         money("total_fob_value_usd", w).cast("decimal(26,2)").alias("total_revenue_usd"),
         scale_units(money("total_fob_value_inr", w), "crore").alias("total_revenue_cr_inr"),
-        round_ratio(money("gross_margin_pct", w), present("gross_margin_pct"), 2).alias("avg_gross_margin_pct"),
+        round_mean(money("gross_margin_pct", w), present("gross_margin_pct"), 2).alias("avg_gross_margin_pct"),
         whole(present("order_id")).alias("total_orders"),
         F.sum(F.col("quantity_units") * w).cast("bigint").alias("total_units_exported"),
         F.countDistinct("customer_id").alias("total_buyers"),
@@ -719,7 +721,7 @@ def master_summary(
         F.sum(F.when(overdue, dec("total_fob_value_usd", 18, 2) * w).otherwise(F.lit(0)))
         .cast("decimal(26,2)").alias("overdue_value_usd"),
         whole(F.sum("_ship_ids")).alias("total_shipments"),
-        round_ratio(F.sum(F.col("_transit") * F.col("_r")), F.sum(F.col("_transit_n") * F.col("_r")), 1, scale=0)
+        round_mean(F.sum(F.col("_transit") * F.col("_r")), F.sum(F.col("_transit_n") * F.col("_r")), 1, scale=0)
         .alias("avg_transit_days"),
         money("_demurrage", F.col("_r")).cast("decimal(26,2)").alias("total_demurrage_usd"),
         whole(F.sum("_return_ids")).alias("total_returns"),

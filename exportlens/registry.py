@@ -27,11 +27,12 @@ from exportlens.operators import enrich, quality, ranking, relative
 from exportlens.operators.aggregates import mode_by
 from exportlens.operators.sampling import sample_orders
 from exportlens.plans import analysis as A
-from exportlens.plans import view_builders
+from exportlens.plans import Tables, view_builders
 from exportlens.sources.calendar import date_spine, dense_panel
 from exportlens.sources.schemas import FOREIGN_KEYS, SCHEMAS
 from exportlens.sources.tables import register_tables, register_views, row_counts, view
 from exportlens.sources.testdata import AS_OF, RECENCY_AS_OF, StarTables
+from exportlens.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,16 +57,16 @@ def plain(df: DataFrame) -> DataFrame:
 VIEWS = view_builders(RECENCY_AS_OF)
 
 
-def _over_view(name: str, build: Callable[..., DataFrame], **kwargs) -> Callable[[StarTables], DataFrame]:
+def _over_view(name: str, build: Callable[..., DataFrame], **kwargs) -> Callable[[Tables], DataFrame]:
     return lambda t: build(VIEWS[name](t), **kwargs)
 
 
-def _over_scores(build: Callable[..., DataFrame], **kwargs) -> Callable[[StarTables], DataFrame]:
+def _over_scores(build: Callable[..., DataFrame], **kwargs) -> Callable[[Tables], DataFrame]:
     return lambda t: build(A.score_markets(VIEWS["market_entry_readiness"](t)), **kwargs)
 
 
-def _over_trend(build: Callable[..., DataFrame], **kwargs) -> Callable[[StarTables], DataFrame]:
-    return lambda t: build(A.monthly_revenue_trend(t.fact_export_orders), **kwargs)
+def _over_trend(build: Callable[..., DataFrame], **kwargs) -> Callable[[Tables], DataFrame]:
+    return lambda t: build(A.monthly_revenue_trend(t["fact_export_orders"]), **kwargs)
 
 
 # --- enrichment -----------------------------------------------------------------------------
@@ -206,7 +207,7 @@ def _rounding(t: StarTables) -> DataFrame:
 # --- quality --------------------------------------------------------------------------------
 
 
-def _dq_domain(t: StarTables) -> DataFrame:
+def _dq_domain(t: Tables) -> DataFrame:
     narrow = StructType([
         StructField("order_channel", StringType(), True, {"max_length": 8}),
         StructField("payment_status", StringType(), True, {"max_length": 20}),
@@ -214,28 +215,28 @@ def _dq_domain(t: StarTables) -> DataFrame:
         StructField("net_fob_price_usd", DecimalType(10, 2)),
         StructField("gross_margin_pct", DecimalType(7, 2)),
     ])
-    return quality.dq_domain(t.fact_export_orders, narrow)
+    return quality.dq_domain(t["fact_export_orders"], narrow)
 
 
-def _dq_domain_declared(t: StarTables) -> DataFrame:
-    return quality.dq_domain(t.fact_shipment_details, SCHEMAS["fact_shipment_details"])
+def _dq_domain_declared(t: Tables) -> DataFrame:
+    return quality.dq_domain(t["fact_shipment_details"], SCHEMAS["fact_shipment_details"])
 
 
-def _dq_not_null(t: StarTables) -> DataFrame:
+def _dq_not_null(t: Tables) -> DataFrame:
     """Nulls among the analytic keys after a left join that leaves some empty."""
-    facts = t.fact_export_orders.select("order_id", "product_id", "market_id")
-    returned = t.fact_returns.select("order_id", "return_reason", "return_date")
+    facts = t["fact_export_orders"].select("order_id", "product_id", "market_id")
+    returned = t["fact_returns"].select("order_id", "return_reason", "return_date")
     return quality.dq_not_null(
         facts.join(returned, "order_id", "left"), ["order_id", "product_id", "market_id", "return_reason", "return_date"]
     )
 
 
-def _sql_scan(t: StarTables) -> DataFrame:
+def _sql_scan(t: Tables) -> DataFrame:
     """Ad-hoc SQL over registered tables and a registered view."""
-    register_tables({"fact_export_orders": t.fact_export_orders, "dim_markets": t.dim_markets})
+    register_tables({"fact_export_orders": t["fact_export_orders"], "dim_markets": t["dim_markets"]})
     register_views(t, {"payment_risk": VIEWS["payment_risk"]})
-    view(t.spark, "payment_risk")
-    return t.spark.sql("""
+    spark = view(t["dim_markets"].sparkSession, "payment_risk").sparkSession
+    return spark.sql("""
         SELECT v.country, v.payment_risk_flag, count(*) AS big_orders
         FROM fact_export_orders o
         JOIN dim_markets m ON o.market_id = m.market_id
@@ -244,9 +245,8 @@ def _sql_scan(t: StarTables) -> DataFrame:
         GROUP BY v.country, v.payment_risk_flag""")
 
 
-BUILDERS: dict[str, Callable[[StarTables], DataFrame]] = {
-    **VIEWS,
-    # enrichment
+# Formulas and checks over the source rows.
+FROM_SOURCE: dict[str, Callable[[StarTables], DataFrame]] = {
     "order_economics": _order_economics,
     "payment_status": _payment_status,
     "calendar_columns": _calendar_columns,
@@ -265,42 +265,47 @@ BUILDERS: dict[str, Callable[[StarTables], DataFrame]] = {
     "dense_panel": _dense_panel,
     "date_spine": _date_spine,
     "rounding": _rounding,
-    "sample_orders": lambda t: sample_orders(t.fact_export_orders, 1000).select("order_id", "order_status"),
+    "dq_unique": lambda t: quality.dq_unique(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
+    "growth_by_currency": lambda t: ranking.growth_pct(
+        t.raw_forex, "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4
+    ),
+}
+
+# Views, checks, rankings and analysis over the loaded tables.
+FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
+    **VIEWS,
+    "sample_orders": lambda t: sample_orders(t["fact_export_orders"], 1000).select("order_id", "order_status"),
     # quality
     "row_counts": row_counts,
-    "dq_unique": lambda t: quality.dq_unique(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "dq_foreign_key": lambda t: quality.dq_foreign_key(
-        t.dim_markets, "currency", t.dim_forex_rates, "currency_code"
+        t["dim_markets"], "currency", t["dim_forex_rates"], "currency_code"
     ),
     "foreign_key_report": lambda t: quality.foreign_key_report(t, FOREIGN_KEYS),
     "dq_not_null": _dq_not_null,
     "dq_profile": lambda t: quality.dq_profile(
-        t.fact_export_orders, ["gross_margin_pct", "total_fob_value_usd", "total_cogs_inr", "gross_profit_inr"]
+        t["fact_export_orders"], ["gross_margin_pct", "total_fob_value_usd", "total_cogs_inr", "gross_profit_inr"]
     ),
     "dq_profile_shipments": lambda t: quality.dq_profile(
-        t.fact_shipment_details, ["landed_to_fob_ratio", "freight_cost_usd", "demurrage_charges_usd"]
+        t["fact_shipment_details"], ["landed_to_fob_ratio", "freight_cost_usd", "demurrage_charges_usd"]
     ),
-    "dq_profile_returns": lambda t: quality.dq_profile(t.fact_returns, ["return_quantity", "net_loss_usd"]),
-    "dq_range": lambda t: quality.dq_range(t.fact_export_orders, "gross_margin_pct", 55, 82),
+    "dq_profile_returns": lambda t: quality.dq_profile(t["fact_returns"], ["return_quantity", "net_loss_usd"]),
+    "dq_range": lambda t: quality.dq_range(t["fact_export_orders"], "gross_margin_pct", 55, 82),
     "dq_range_ratio": lambda t: quality.dq_range(
-        t.fact_shipment_details, "landed_to_fob_ratio", Decimal("1.03"), Decimal("1.35")
+        t["fact_shipment_details"], "landed_to_fob_ratio", Decimal("1.03"), Decimal("1.35")
     ),
     "dq_domain": _dq_domain,
     "dq_domain_declared": _dq_domain_declared,
     "sql_scan": _sql_scan,
     # generic grouped and ranked operators
-    "mode_by": lambda t: mode_by(t.fact_returns, ["market_id"], "return_reason", name="top_reason"),
-    "growth_by_currency": lambda t: ranking.growth_pct(
-        t.raw_forex, "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4
-    ),
+    "mode_by": lambda t: mode_by(t["fact_returns"], ["market_id"], "return_reason", name="top_reason"),
     "top_orders_per_market": lambda t: ranking.top_k_per(
-        t.fact_export_orders, ["market_id"], [F.col("total_fob_value_usd").desc(), F.col("order_id")], 3
+        t["fact_export_orders"], ["market_id"], [F.col("total_fob_value_usd").desc(), F.col("order_id")], 3
     ).select("market_id", "rank", "order_id", "total_fob_value_usd"),
     "order_rank": lambda t: ranking.with_rank(
-        t.fact_export_orders, "total_fob_value_usd", ["order_id"]
+        t["fact_export_orders"], "total_fob_value_usd", ["order_id"]
     ).select("order_id", "total_fob_value_usd", "rank"),
     "customer_share": lambda t: relative.share_of_total(
-        t.fact_export_orders.groupBy("customer_id").agg(F.sum("total_fob_value_usd").alias("revenue_usd")),
+        t["fact_export_orders"].groupBy("customer_id").agg(F.sum("total_fob_value_usd").alias("revenue_usd")),
         "revenue_usd", 4,
     ),
     # analysis
@@ -348,14 +353,23 @@ BUILDERS: dict[str, Callable[[StarTables], DataFrame]] = {
 }
 
 
-@lru_cache(maxsize=2)
-def _tables(spark: SparkSession, path: str) -> StarTables:
+@lru_cache(maxsize=4)
+def _source(spark: SparkSession, path: str) -> StarTables:
     """One set of lazy table plans per session and folder; holds no data."""
     return StarTables(spark, path)
 
 
-def _query(build: Callable[[StarTables], DataFrame]) -> Query:
-    return lambda spark, path: plain(build(_tables(spark, path)))
+@lru_cache(maxsize=4)
+def loaded_tables(spark: SparkSession, path: str) -> Warehouse:
+    """The written star tables of a session and folder, each loaded on first use."""
+    return Warehouse(spark, _source(spark, path), path)
 
 
-QUERIES: dict[str, Query] = {name: _query(build) for name, build in BUILDERS.items()}
+def _query(build: Callable[..., DataFrame], tables: Callable[[SparkSession, str], Tables]) -> Query:
+    return lambda spark, path: plain(build(tables(spark, path)))
+
+
+QUERIES: dict[str, Query] = {
+    **{name: _query(build, loaded_tables) for name, build in FROM_TABLES.items()},
+    **{name: _query(build, _source) for name, build in FROM_SOURCE.items()},
+}
