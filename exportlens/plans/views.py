@@ -35,11 +35,12 @@ from exportlens.operators.aggregates import (
     money_ratio_pct,
     sums,
     unit_ratio,
+    with_distinct_counts,
     zero_fill,
 )
 from exportlens.operators.enrich import GDP_REFERENCE
 from exportlens.operators.ranking import rank_over_agg
-from exportlens.operators.relative import with_total
+from exportlens.operators.relative import with_total, with_totals
 from exportlens.plans import labels as L
 
 PEAK_MONTHS, RAMP_MONTHS, SLOW_MONTHS = (11, 12, 1), (9, 10), (6, 7, 8)
@@ -93,7 +94,7 @@ def executive_revenue(orders: DataFrame) -> DataFrame:
     """Monthly revenue dashboard over all orders, cancelled ones included."""
     repeat = F.col("is_repeat_order") == "Y"
     overdue = F.col("payment_status") == "Overdue"
-    return orders.groupBy("fiscal_year", "quarter", "month_num", "month_name").agg(
+    aggs = [
         F.count("order_id").alias("total_orders"),
         F.sum("quantity_units").alias("total_units_sold"),
         money_sum("total_fob_value_usd").alias("total_revenue_usd"),
@@ -107,8 +108,10 @@ def executive_revenue(orders: DataFrame) -> DataFrame:
         count_when(F.col("order_status") == "Cancelled").alias("cancelled_orders"),
         count_when(overdue).alias("overdue_payments"),
         sum_when(overdue, "total_fob_value_usd").cast("decimal(26,2)").alias("overdue_value_usd"),
-        F.countDistinct("customer_id").alias("active_buyers"),
-        F.countDistinct("market_id").alias("markets_active"),
+    ]
+    return with_distinct_counts(
+        orders, ["fiscal_year", "quarter", "month_num", "month_name"], aggs,
+        {"active_buyers": "customer_id", "markets_active": "market_id"},
     )
 
 
@@ -116,7 +119,7 @@ def channel_performance(orders: DataFrame) -> DataFrame:
     """Channel by year and quarter, all orders."""
     repeat = F.col("is_repeat_order") == "Y"
     cancelled = F.col("order_status") == "Cancelled"
-    return orders.groupBy("order_channel", "fiscal_year", "quarter").agg(
+    aggs = [
         F.count("order_id").alias("total_orders"),
         F.sum("quantity_units").alias("total_units"),
         money_sum("total_fob_value_usd").alias("total_revenue_usd"),
@@ -124,13 +127,15 @@ def channel_performance(orders: DataFrame) -> DataFrame:
         mean("gross_margin_pct", 2).alias("avg_margin_pct"),
         mean("discount_pct", 2).alias("avg_discount_pct"),
         round_mean(F.sum("total_fob_value_usd"), F.count("order_id"), 2).alias("avg_order_value_usd"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("market_id").alias("markets_reached"),
         count_when(repeat).alias("repeat_orders"),
         rate_pct(count_when(repeat), F.count("order_id")).alias("repeat_rate_pct"),
         count_when(F.col("payment_status") == "Overdue").alias("overdue_orders"),
         count_when(cancelled).alias("cancelled_orders"),
         rate_pct(count_when(cancelled), F.count("order_id")).alias("cancellation_rate_pct"),
+    ]
+    return with_distinct_counts(
+        orders, ["order_channel", "fiscal_year", "quarter"], aggs,
+        {"unique_customers": "customer_id", "markets_reached": "market_id"},
     )
 
 
@@ -140,19 +145,17 @@ def category_mix(orders: DataFrame, products: DataFrame) -> DataFrame:
     Share and concentration both come from the unrounded share.
     """
     live = not_cancelled(orders)
-    grouped = (
-        live.join(products.select("product_id", "category", "subcategory"), "product_id")
-        .groupBy("category", "subcategory")
-        .agg(
-            F.countDistinct("product_id").alias("product_count"),
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity_units").alias("total_units"),
-            money_sum("total_fob_value_usd").alias("total_revenue_usd"),
-            money_sum("gross_profit_inr").alias("total_gp_inr"),
-            mean("gross_margin_pct", 2).alias("avg_margin_pct"),
-            F.countDistinct("market_id").alias("markets_served"),
-            F.countDistinct("customer_id").alias("unique_buyers"),
-        )
+    categorised = live.join(products.select("product_id", "category", "subcategory"), "product_id")
+    aggs = [
+        F.count("order_id").alias("total_orders"),
+        F.sum("quantity_units").alias("total_units"),
+        money_sum("total_fob_value_usd").alias("total_revenue_usd"),
+        money_sum("gross_profit_inr").alias("total_gp_inr"),
+        mean("gross_margin_pct", 2).alias("avg_margin_pct"),
+    ]
+    grouped = with_distinct_counts(
+        categorised, ["category", "subcategory"], aggs,
+        {"product_count": "product_id", "markets_served": "market_id", "unique_buyers": "customer_id"},
     )
     total = money_sum("total_fob_value_usd")
     with_sum = with_total(grouped, live, total, "_total")
@@ -257,17 +260,19 @@ def product_export_scorecard(
 
     Order measures stay NULL for a product never ordered; the others become 0.
     """
-    ordered = orders.groupBy("product_id").agg(
+    aggs = [
         F.count("order_id").alias("total_orders"),
         F.sum("quantity_units").alias("total_units"),
         money_sum("total_fob_value_usd").alias("total_revenue_usd"),
         money_sum("gross_profit_inr").alias("total_gp_inr"),
         mean("gross_margin_pct", 2).alias("avg_margin_pct"),
         mean("discount_pct", 2).alias("avg_discount_pct"),
-        F.countDistinct("market_id").alias("markets_present"),
-        F.countDistinct("customer_id").alias("unique_buyers"),
         count_when(F.col("order_status") == "Cancelled").alias("cancellations"),
         count_when(F.col("payment_status") == "Overdue").alias("overdue_count"),
+    ]
+    ordered = with_distinct_counts(
+        orders.where("product_id IS NOT NULL"), ["product_id"], aggs,
+        {"markets_present": "market_id", "unique_buyers": "customer_id"},
     )
     logistics = shipments.groupBy("product_id").agg(
         mean("landed_to_fob_ratio", 4, scale=4).alias("avg_lc_fob_ratio"),
@@ -309,7 +314,7 @@ def customer_ltv(
     customers: DataFrame, orders: DataFrame, returns: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
     """Every buyer with lifetime value, recency, frequency and monetary scores and a health tag."""
-    bought = not_cancelled(orders).groupBy("customer_id").agg(
+    aggs = [
         F.count("order_id").alias("total_orders"),
         F.sum("quantity_units").alias("total_units"),
         money_sum("total_fob_value_usd").alias("total_revenue_usd"),
@@ -318,10 +323,12 @@ def customer_ltv(
         mean("discount_pct", 2).alias("avg_discount"),
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
-        F.countDistinct("product_id").alias("products_ordered"),
-        F.countDistinct("market_id").alias("markets_ordered_from"),
         count_when(F.col("payment_status").isin("Overdue", "Paid Late")).alias("late_payments"),
         mean("payment_delay_days", 1, scale=0).alias("avg_payment_delay"),
+    ]
+    bought = with_distinct_counts(
+        not_cancelled(orders).where("customer_id IS NOT NULL"), ["customer_id"], aggs,
+        {"products_ordered": "product_id", "markets_ordered_from": "market_id"},
     )
 
     def score(x: Column, limits: list[int], at_most: bool) -> Column:
@@ -696,8 +703,9 @@ def master_summary(
         F.sum("net_loss_usd").alias("_loss"),
     )
     once = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(1))
+    live = not_cancelled(orders)
     joined = (
-        not_cancelled(orders)
+        live
         .join(shipped, "order_id", "left")
         .join(returned, "order_id", "left")
         .withColumns({"_s": dec(once("_ships"), 9, 0), "_r": dec(once("_returns"), 9, 0)})
@@ -707,16 +715,13 @@ def master_summary(
     money = lambda c, weight: F.sum(dec(c, 18, 2) * weight)
     present = lambda c: F.sum(F.when(F.col(c).isNotNull(), w))
     whole = lambda x: F.coalesce(x, F.lit(0)).cast("bigint")
-    return joined.agg(
+    summary = joined.agg(
         F.lit(label).alias("summary_level"),
         money("total_fob_value_usd", w).cast("decimal(26,2)").alias("total_revenue_usd"),
         scale_units(money("total_fob_value_inr", w), "crore").alias("total_revenue_cr_inr"),
         round_mean(money("gross_margin_pct", w), present("gross_margin_pct"), 2).alias("avg_gross_margin_pct"),
         whole(present("order_id")).alias("total_orders"),
         F.sum(F.col("quantity_units") * w).cast("bigint").alias("total_units_exported"),
-        F.countDistinct("customer_id").alias("total_buyers"),
-        F.countDistinct("market_id").alias("markets_active"),
-        F.countDistinct("product_id").alias("products_exported"),
         whole(F.sum(F.when(overdue, w))).alias("overdue_orders"),
         F.sum(F.when(overdue, dec("total_fob_value_usd", 18, 2) * w).otherwise(F.lit(0)))
         .cast("decimal(26,2)").alias("overdue_value_usd"),
@@ -727,3 +732,9 @@ def master_summary(
         whole(F.sum("_return_ids")).alias("total_returns"),
         money("_loss", F.col("_s")).cast("decimal(26,2)").alias("total_return_loss_usd"),
     )
+    # Buyers, markets and products do not depend on the joins; they are counted on their own columns.
+    return with_totals(summary, live, {
+        "total_buyers": F.countDistinct("customer_id"),
+        "markets_active": F.countDistinct("market_id"),
+        "products_exported": F.countDistinct("product_id"),
+    })
