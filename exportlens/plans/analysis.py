@@ -517,10 +517,7 @@ def delay_rollup(v6: DataFrame) -> DataFrame:
 
 
 def delay_by_market(v6: DataFrame, n: int = 3) -> DataFrame:
-    """The n most delayed countries next to the overall rate and demurrage.
-
-    The overall figures are summed in the same pass that finds the top rows' country totals.
-    """
+    """The n most delayed countries next to the overall rate and demurrage."""
     top = top_n(delay_rollup(v6), [F.col("delay_pct").desc_nulls_last(), F.col("country")], n, rank="rank")
     late, all_ = _total("delayed_shipments").cast("decimal(18,0)"), _total("total_shipments")
     top = with_total(top, v6, round_mean(late * 100, all_, 1, scale=0, even=True), "overall_delay_pct")

@@ -11,6 +11,7 @@ import hashlib
 import tempfile
 import threading
 import uuid
+import warnings
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +55,14 @@ class Warehouse(Mapping[str, DataFrame]):
             if name not in self._loaded:
                 df = self.source[name]
                 path = f"{self.root}/{name}"
-                load_table(df, path, name, mode="overwrite")
-                self._loaded[name] = self.spark.read.schema(df.schema).parquet(path)
+                try:
+                    load_table(df, path, name, mode="overwrite")
+                    df = self.spark.read.schema(df.schema).parquet(path)
+                except Exception as e:  # noqa: BLE001
+                    # A folder that cannot be written must not stop the queries; an error in the
+                    # data comes up again when the query itself derives the table.
+                    warnings.warn(f"{name} is derived in each query, loading failed: {e}", stacklevel=2)
+                self._loaded[name] = df
             return self._loaded[name]
 
     def __iter__(self) -> Iterator[str]:

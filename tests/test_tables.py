@@ -76,3 +76,13 @@ def test_warehouse_loads_once(spark):
     house = Warehouse(spark, Source(dim_forex_rates=rates), "x")
     assert house["dim_forex_rates"].count() == 0 and house["dim_forex_rates"].schema.fieldNames() == rates.schema.fieldNames()
     assert built == ["dim_forex_rates"] and list(house) == ["dim_forex_rates"] and len(house) == 1
+
+
+def test_unwritable_folder_falls_back(spark, tmp_path):
+    rates = spark.createDataFrame([], SCHEMAS["dim_forex_rates"])
+    house = Warehouse(spark, {"dim_forex_rates": rates}, "x")
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    house.root = str(blocked)
+    with pytest.warns(UserWarning, match="derived in each query"):
+        assert house["dim_forex_rates"] is rates

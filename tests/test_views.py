@@ -11,6 +11,7 @@ from exportlens.plans import analysis as A
 from exportlens.plans import labels as L
 from exportlens.plans import view_builders
 from exportlens.plans import views as V
+from exportlens.plans.report import REPORT_ORDER, report_order
 from exportlens.sources.schemas import SCHEMAS
 
 
@@ -200,5 +201,9 @@ def test_analysis_rollups(spark):
     assert months == {"A": ("Feb, Apr", "Jan, Mar"), "B": ("Jan", "Jan")}
 
 
-def test_registered_names(spark):
-    assert len(view_builders("2024-12-31")) == 15
+def test_report_order(spark):
+    assert set(view_builders("2024-12-31")) == set(REPORT_ORDER)
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 9)], "id int, total_revenue_usd int")
+    ids = lambda name: [r.id for r in report_order(df, name).collect()]
+    assert ids("customer_ltv") == [3, 2, 1] and ids("category_mix") == [1, 3, 2]
+    assert report_order(df, "master_summary") is df
