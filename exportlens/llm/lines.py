@@ -79,8 +79,9 @@ def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 4, least_words:
     lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda a, c: a + F.size(F.split(c, "\nc")))
     all_chunks = _chunks(F.col("text"), window, divisor)
     removed = F.when(F.col("_ld_gone").isNull(), F.array().cast("array<string>")).otherwise(F.transform(F.array_sort("_ld_gone"), lambda p: F.get(all_chunks, p)))
-    kept = F.array_join(F.filter(all_chunks, lambda c, i: ~F.array_contains(F.col("_ld_gone"), i)), "\n")
-    clean = F.when(F.col("_ld_gone").isNull(), F.col("text")).otherwise(F.replace(kept, F.lit("\nc"), F.lit("\n")))
+    kept = F.filter(all_chunks, lambda c, i: ~F.array_contains(F.col("_ld_gone"), i))
+    plain = F.array_join(F.transform(kept, lambda c: F.replace(c, F.lit("\nc"), F.lit("\n"))), "\n")
+    clean = F.when(F.col("_ld_gone").isNull(), F.col("text")).otherwise(plain)
     some = F.col("text").isNotNull()
     count = lambda c: F.when(some, c).otherwise(F.lit(0)).cast("long")
     return df.withColumns({

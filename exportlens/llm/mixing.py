@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from exportlens.llm.common import Cache, bytes_column, cut
 TOPICS = 8
 TOPIC_WORD = 5  # bytes from which a word counts for the topic
 MARGINS = ["source", "lang", "topic"]
+FEW_CELLS = 100_000  # cells, of some 60 bytes, up to which the driver rakes them in memory
+CELLS_OF_A_TASK = 100_000
 
 
 def with_topic(docs: DataFrame) -> DataFrame:
@@ -48,17 +51,24 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, (F.pow("t", F.lit(power)) / total).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-4, sweeps: int = 50) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-3, sweeps: int = 40) -> DataFrame:
     """(margins…, tokens, weight) with weights whose sums by every margin agree with its targets.
 
     Each sweep scales the weights to one margin after the other, which converges to the weights
     closest to the tokens in relative entropy. A sweep is one job over the cells, which are far fewer than the
-    documents; only its largest relative deviation comes to the driver. Raises when ``sweeps`` don't
-    reach the tolerance. Targets of 0 or without cells are left out.
+    documents; only its largest relative deviation comes to the driver. Targets that no weights can
+    reach together, as empty cells may make them, stop when the deviation no longer falls: the margin
+    raked last is then exact, the others are as near as they get. Cells of a margin's value without a
+    target, or with a target of 0, get no weight.
     """
     names = list(targets)
     cells = cut(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
-    table = {m: cut(targets[m].where("target > 0").select(F.col(m).alias("_m"), "target")) for m in names}
+    count = cells.count()
+    if count <= FEW_CELLS:
+        return _rake_few(cells, targets, tolerance, sweeps)
+    cells = cells.coalesce(1 + count // CELLS_OF_A_TASK)
+    last = float("inf")
+    table = {m: cut(targets[m].where("target > 0").select(F.col(m).alias("_m"), "target").coalesce(1)) for m in names}
     for _ in range(sweeps):
         off = F.lit(0.0)
         for m in names:
@@ -70,9 +80,35 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
         cells = cut(cells.withColumn("_off", off).drop(*[f"_off_{m}" for m in names]))
         worst = cells.agg(F.max("_off")).first()[0]
         cells = cells.drop("_off")
-        if worst is None or worst <= tolerance:
-            return cells
-    raise ValueError(f"the targets are not reached: a weight still moves by {worst:.2g}")
+        if worst is None or worst <= tolerance or worst > 0.99 * last:
+            break
+        last = worst
+    return cells
+
+
+def _rake_few(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, sweeps: int) -> DataFrame:
+    """The same for cells that are known to be few."""
+    table = cells.toPandas()
+    weight, margins = table["weight"].to_numpy().copy(), []
+    for m, df in targets.items():
+        codes, values = pd.factorize(table[m], use_na_sentinel=False)
+        aim = {None if pd.isna(r[m]) else r[m]: float(r["target"]) for r in df.where("target > 0").collect()}
+        margins.append((codes, np.array([aim.get(None if pd.isna(v) else v, 0.0) for v in values])))
+    last = float("inf")
+    for _ in range(sweeps):
+        worst = 0.0
+        for codes, aim in margins:
+            sums = np.bincount(codes, weights=weight, minlength=len(aim))
+            scale = np.divide(aim, sums, out=np.zeros_like(aim), where=sums > 0)
+            used = (aim > 0) & (sums > 0)
+            worst = max(worst, float(np.abs(scale[used] - 1).max(initial=0.0)))
+            weight *= scale[codes]
+        if worst <= tolerance or worst > 0.99 * last:
+            break
+        last = worst
+    table["weight"] = weight
+    rows = [tuple(None if pd.isna(x) else x for x in r) for r in table.itertuples(index=False)]
+    return cells.sparkSession.createDataFrame(rows, cells.schema).where("weight > 0")
 
 
 def uniform(doc_id: Column, seed: int) -> Column:
