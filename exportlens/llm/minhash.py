@@ -13,6 +13,7 @@ from exportlens.llm.graph import components
 
 BINS = 21  # log2 of the number of dimensions that are permuted
 SMALL_BUCKET = 32  # members up to which all pairs of a bucket are compared directly
+FEW_IDS = 1_000_000  # ids, of 8 bytes, that are broadcast to pick out texts; more meet them by a shuffle
 
 _tables: dict[int, np.ndarray] = {}
 
@@ -70,24 +71,20 @@ def _sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """Full shingle sets of the documents whose ids are in ``nodes``."""
+    """(node, items): full shingle sets of the documents whose ids are in ``nodes``."""
     def run(batches):
         cache = word_cache()
         for batch in batches:
             sets = [shingles(t, words, cache).view(np.int64) for t in bytes_column(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_column(sets, pa.int64())], names=["node", "items"])
 
-    wanted = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    ids = cut(nodes.select(F.col("node").alias("doc_id")).distinct())
+    wanted = docs.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, items array<long>").where(F.size("items") > 0)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
-    pairs = cut(pairs)
-    if pairs.isEmpty():
-        return pairs
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = cut(_sets(docs, nodes, words))
     side = lambda k: sets.select(F.col("node").alias(k), F.col("items").alias(f"s{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -98,7 +95,7 @@ def _similar_size(n: str, m: str, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def _prefix_pairs(rows: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every pair of different components that can reach the similarity, for members of large buckets.
 
     Two sets that do share one of their n - ceil(t n) + 1 first shingles in any common order; the
@@ -106,7 +103,7 @@ def _prefix_pairs(rows: DataFrame, docs: DataFrame, words: int, percent: int) ->
     most frequent component are never formed.
     """
     nodes = cut(rows.select("node", "n", "label").distinct())
-    items = _sets(docs, nodes, words).select("node", F.explode("items").alias("item")).distinct()
+    items = sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item")).distinct()
     counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     ranked = items.join(counts, "item").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("own"))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -119,12 +116,13 @@ def _prefix_pairs(rows: DataFrame, docs: DataFrame, words: int, percent: int) ->
     return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 36, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 28, rows: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets; the
     component is the smallest doc_id reachable, kept marks it. Candidates share a band of the
-    signature: with 36 bands of 5 a pair at 0.8 is missed with a chance of 6e-7. Equal sets are one
+    signature: with 28 bands of 5 a pair at exactly 0.8 is missed
+    with a chance of 2e-5, one at 0.85 of 1e-7. Equal sets are one
     class and enter once. A bucket is never expanded into all pairs: each member is first compared
     with the least member it meets, then with the least one of each bucket that still holds
     different components; what remains is compared pair by pair in small buckets and by the exact
@@ -141,11 +139,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     entries = reps.select("node", "n", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead <> top")
     members = cut(entries.join(shared.drop("top"), "bucket"))
+    sets = cut(_sets(docs, members.select("node"), words))
 
     size = members.select(F.col("node").alias("a"), F.col("n").alias("an")).distinct()
     fits = lambda p: p.join(size, "a").where(_similar_size("an", "n", percent)).select("a", "b").distinct()
     first = members.groupBy("node", "n").agg(F.min("lead").alias("a")).where("a <> node")
-    links = _linked(fits(first.withColumnRenamed("node", "b")), docs, words, percent)
+    links = _linked(fits(first.withColumnRenamed("node", "b")), sets, percent)
 
     for step in range(2):
         rows_ = members.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
@@ -163,8 +162,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             found = found.select("a", F.col("node").alias("b")).distinct()
             large = open_.where(F.col("members") > SMALL_BUCKET)
             if not large.isEmpty():
-                found = found.unionByName(_prefix_pairs(large, docs, words, percent)).distinct()
-        links = cut(links.unionByName(_linked(found, docs, words, percent)))
+                found = found.unionByName(_prefix_pairs(large, sets, percent)).distinct()
+        links = cut(links.unionByName(_linked(found, sets, percent)))
 
     label = classes.join(components(links), "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     out = sketch.select("doc_id", "n", "print").join(label, "print", "left")
