@@ -12,7 +12,7 @@ from exportlens.llm.common import bytes_column, cut, list_column, mix, window_ha
 from exportlens.llm.graph import components
 
 BINS = 21  # log2 of the number of dimensions that are permuted
-SMALL_BUCKET = 32  # members up to which all pairs of a bucket are compared directly
+LEADS = 2  # members of a bucket that all others are compared with, before the rest is settled by prefixes
 FEW_IDS = 1_000_000  # ids, of 8 bytes, that are broadcast to pick out texts; more meet them by a shuffle
 
 _tables: dict[int, np.ndarray] = {}
@@ -96,11 +96,13 @@ def _similar_size(n: str, m: str, percent: int):
 
 
 def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components that can reach the similarity, for members of large buckets.
+    """Every pair of different components that can reach the similarity, for members of open buckets.
 
     Two sets that do share one of their n - ceil(t n) + 1 first shingles in any common order; the
-    order by rarity makes passages that many documents share come last. Pairs inside a shingle's
-    most frequent component are never formed.
+    order by rarity makes passages that many documents share come last. The first common one, at
+    places i and j, leaves an overlap of min(n - i, m - j) at most; a pair is formed only where that
+    can suffice, so texts around one passage or template are not. Nor are pairs inside a shingle's
+    most frequent component.
     """
     nodes = cut(rows.select("node", "n", "label").distinct())
     items = sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item")).distinct()
@@ -108,11 +110,14 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = items.join(counts, "item").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("own"))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = cut(ranked.join(nodes, "node").select(
-        "node", "n", "label", F.explode(F.slice("own", F.lit(1), length.cast("int"))["item"]).alias("item")))
+        "node", "n", "label", F.posexplode(F.slice("own", F.lit(1), length.cast("int"))["item"]).alias("at", "item")))
     sizes = prefix.groupBy("item", "label").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("item").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    left = prefix.join(main, "item").where("label <> main").select("item", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-    pairs = left.join(prefix, "item").where((F.col("xl") != F.col("label")) & _similar_size("xn", "n", percent))
+    left = prefix.join(main, "item").where("label <> main").select(
+        "item", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"), F.col("at").alias("xat"))
+    most = F.least(F.col("n") - F.col("at"), F.col("xn") - F.col("xat"))
+    same = (F.col("xl") != F.col("label")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("xn")))
+    pairs = left.join(prefix.withColumnRenamed("item", "i"), (F.col("item") == F.col("i")) & same)
     return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
@@ -121,12 +126,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets; the
     component is the smallest doc_id reachable, kept marks it. Candidates share a band of the
-    signature: with 28 bands of 5 a pair at exactly 0.8 is missed
-    with a chance of 2e-5, one at 0.85 of 1e-7. Equal sets are one
-    class and enter once. A bucket is never expanded into all pairs: each member is first compared
-    with the least member it meets, then with the least one of each bucket that still holds
-    different components; what remains is compared pair by pair in small buckets and by the exact
-    prefix filter in large ones. So every pair of a bucket is confirmed, refused, or already joined.
+    signature: with 28 bands of 5 a pair at exactly 0.8 is missed with a chance of 2e-5, one at 0.85
+    of 1e-7. Equal sets are one class and enter once. A bucket is never expanded into all pairs: each member is first compared
+    with the most central lead it meets (most copies, then most neighbours), then, while a bucket
+    holds different components, with up to ``LEADS`` leads of it. What remains is settled by an exact
+    prefix filter between components. So every pair of a bucket is confirmed, refused, or joined.
 
     Null or empty texts, and texts without words, have no set: component of their own id. Rows that
     share a doc_id are one document with all their links; a row without doc_id takes the component of
@@ -134,35 +138,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sketch = cut(_sketch(docs, words, bands, rows))
-    classes = cut(sketch.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node")))
+    classes = cut(sketch.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")))
     reps = sketch.join(classes.where("node IS NOT NULL"), "print").where("doc_id = node")
-    entries = reps.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead <> top")
-    members = cut(entries.join(shared.drop("top"), "bucket"))
+    entries = reps.select("node", "n", "copies", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("low"), F.max("node").alias("top"))
+    members = cut(entries.join(shared.where("low <> top").drop("low", "top"), "bucket"))
     sets = cut(_sets(docs, members.select("node"), words))
-
-    size = members.select(F.col("node").alias("a"), F.col("n").alias("an")).distinct()
-    fits = lambda p: p.join(size, "a").where(_similar_size("an", "n", percent)).select("a", "b").distinct()
-    first = members.groupBy("node", "n").agg(F.min("lead").alias("a")).where("a <> node")
-    links = _linked(fits(first.withColumnRenamed("node", "b")), sets, percent)
-
-    for step in range(2):
-        rows_ = members.join(components(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        open_ = rows_.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count(F.lit(1)).alias("members"))
-        open_ = cut(rows_.join(open_.where("l0 <> l1").drop("l0", "l1"), "bucket"))
+    # The centre of a family is what most members are near to, though they may not be near each other.
+    centre = members.groupBy("node").agg(F.max("copies").alias("c"), F.sum("members").alias("m"))
+    members = cut(members.select("bucket", "node", "n").join(centre.select("node", F.struct("c", "m", (-F.col("node")).alias("id")).alias("w")), "node"))
+
+    leads = members.groupBy("bucket").agg(F.max(F.struct("w", "node", "n")).alias("lead"))
+    best = members.join(leads, "bucket").groupBy("node", "n").agg(F.max("lead").alias("lead"))
+    fits = lambda df: df.where((F.col("lead.node") != F.col("node")) & _similar_size("lead.n", "n", percent)).select(
+        F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+    links = _linked(fits(best), sets, percent)
+
+    open_, used = members, None
+    for step in range(LEADS + 1):
+        labels = components(links)
+        open_ = open_.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        mixed = open_.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket")
+        open_ = cut(open_.join(mixed, "bucket"))
         if open_.isEmpty():
             break
-        if step == 0:
-            lead = open_.where("node = lead").select("bucket", F.col("label").alias("ll")).distinct()
-            found = fits(open_.join(lead, "bucket").where("label <> ll").select(F.col("lead").alias("a"), F.col("node").alias("b"), "n"))
+        if step < LEADS:
+            fresh = open_ if used is None else open_.join(used, ["bucket", "node"], "left_anti")
+            leads = cut(fresh.groupBy("bucket").agg(F.max(F.struct("w", "node", "n", "label")).alias("lead")))
+            used = leads.select("bucket", "lead.node") if used is None else used.unionByName(leads.select("bucket", "lead.node"))
+            found = fits(open_.join(leads, "bucket").where("label <> lead.label"))
         else:
-            small = open_.where(F.col("members") <= SMALL_BUCKET)
-            other = small.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-            found = small.join(other, "bucket").where((F.col("a") < F.col("node")) & (F.col("al") != F.col("label")) & (F.col("a") != F.col("lead")) & _similar_size("an", "n", percent))
-            found = found.select("a", F.col("node").alias("b")).distinct()
-            large = open_.where(F.col("members") > SMALL_BUCKET)
-            if not large.isEmpty():
-                found = found.unionByName(_prefix_pairs(large, sets, percent)).distinct()
+            found = _prefix_pairs(open_, sets, percent)
         links = cut(links.unionByName(_linked(found, sets, percent)))
 
     label = classes.join(components(links), "node", "left").select("print", F.coalesce("component", "node").alias("component"))

@@ -118,8 +118,8 @@ def test_near_duplicates_large_buckets_are_exact(spark, monkeypatch):
         docs.append((i, " ".join(copy)))
     want = brute.near_duplicates(docs, 2)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for limit in (1, 10**6):
-        monkeypatch.setattr(minhash, "SMALL_BUCKET", limit)
+    for leads in (0, 2):
+        monkeypatch.setattr(minhash, "LEADS", leads)
         assert _near(minhash.near_duplicates(df, words=2, bands=24, rows=1)) == want
 
 
