@@ -170,6 +170,17 @@ add("growth_by_currency", ["fx0"], f"""SELECT currency_code, {day("date")} AS da
 FROM (SELECT *, lag(rate4) OVER (PARTITION BY currency_code ORDER BY date) AS prev FROM fx0)""")
 add("top_orders_per_market", ["o"], """SELECT market_id::BIGINT AS market_id, rank, order_id, usd2/1e2 AS total_fob_value_usd
 FROM (SELECT *, row_number() OVER (PARTITION BY market_id ORDER BY usd2 DESC, order_id) AS rank FROM o) WHERE rank <= 3""")
+add("sample_orders", ["o"], """SELECT order_id, order_status FROM o WHERE order_status = 'Delivered'
+ORDER BY substr(md5('42:' || order_id), 1, 15), order_id LIMIT 1000""")
+_KEYS = {
+    "dim_products": ("p", "product_id"), "dim_markets": ("m", "market_id"), "dim_customers": ("c", "customer_id"),
+    "dim_forex_rates": ("fx", "date, currency_code"), "fact_export_orders": ("o", "order_id"),
+    "fact_shipment_details": ("s", "shipment_id"), "fact_competitor_pricing": ("pr", "date, product_id, market_id"),
+    "fact_market_demand": ("d", "date, product_id, market_id"), "fact_returns": ("r", "return_id"),
+}
+add("dq_primary_keys", [cte for cte, _ in _KEYS.values()], "\nUNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, count(*)::BIGINT AS duplicate_keys
+FROM (SELECT {keys} FROM {cte} GROUP BY {keys} HAVING count(*) > 1)""" for table, (cte, keys) in _KEYS.items()))
 add("order_rank", ["o"], """SELECT order_id, usd2/1e2 AS total_fob_value_usd, row_number() OVER (ORDER BY usd2 DESC, order_id) AS rank FROM o""")
 add("customer_share", ["o"], f"""SELECT customer_id, rev/1e2 AS revenue_usd, {real(half_up("rev*1000000", "sum(rev) OVER ()"), 4)} AS share_pct
 FROM (SELECT customer_id, sum(usd2)::BIGINT AS rev FROM o GROUP BY 1)""")

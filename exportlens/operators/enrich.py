@@ -52,8 +52,10 @@ DEFAULT_LAST_MILE = Decimal("0.32")
 DEFAULT_TRANSIT = 20
 
 # Seasonality factor, January to December.
-SEASON = [Decimal(f) for f in
-          "1.20 0.95 0.90 0.88 0.92 0.95 0.98 1.00 1.05 1.10 1.25 1.35".split()]
+SEASON = [
+    Decimal("1.20"), Decimal("0.95"), Decimal("0.90"), Decimal("0.88"), Decimal("0.92"), Decimal("0.95"),
+    Decimal("0.98"), Decimal("1.00"), Decimal("1.05"), Decimal("1.10"), Decimal("1.25"), Decimal("1.35"),
+]
 
 SCORE_COLUMNS = [
     "home_decor_demand_score", "market_entry_ease_score", "regulatory_ease_score",

@@ -119,3 +119,12 @@ def dq_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
         F.count_if(~inside).alias("outside"),
         F.count_if(F.col(col).isNull()).alias("missing"),
     ).select(F.lit(col).alias("column_name"), "row_count", "inside", "outside", "missing")
+
+
+def primary_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table_name, duplicate_keys): for every table the number of key values that occur twice or more."""
+    parts = []
+    for table, columns in keys.items():
+        repeated = tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        parts.append(repeated.agg(F.count(F.lit(1)).alias("duplicate_keys")).select(F.lit(table).alias("table_name"), "duplicate_keys"))
+    return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from exportlens.operators.ranking import HASH_BOUNDS, with_rank
+from exportlens.operators.ranking import with_rank
 
 
 def sample_orders(
@@ -15,11 +15,14 @@ def sample_orders(
 ) -> DataFrame:
     """Exactly ``n`` orders of one status (or all, if fewer), without replacement.
 
-    The rows with the n smallest seeded key hashes are kept: the same key and seed always give the
-    same sample, whatever the partitioning. Ranking goes through hash buckets, so even a large n
+    The rows with the n smallest seeded key hashes are kept, the MD5 of seed and key as text: the same
+    key and seed always give the same sample, whatever the partitioning or the engine. Ranking goes through hash buckets, so even a large n
     never meets in one task.
     """
     pool = orders.where(F.col("order_status") == status)
-    hashed = pool.withColumn("_hash", F.xxhash64(*key, F.lit(seed)))
-    ranked = with_rank(hashed, "_hash", list(key), descending=False, rank="_rank", bounds=HASH_BOUNDS)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    # The first 15 hexadecimal digits as a number.
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    hashed = pool.withColumn("_hash", number)
+    ranked = with_rank(hashed, "_hash", list(key), descending=False, rank="_rank", bounds=(0, (1 << 60) - 1))
     return ranked.where(F.col("_rank") <= n).drop("_hash", "_rank")

@@ -415,8 +415,10 @@ def demand_by_category(v11: DataFrame) -> DataFrame:
     return df.withColumn("bar_length", bar)
 
 
-def revenue_by_month_pivot(trend: DataFrame, years: list[int]) -> DataFrame:
+def revenue_by_month_pivot(trend: DataFrame, years: list[int] | None = None) -> DataFrame:
     """One revenue column per year by month, with the peak-season flag."""
+    if years is None:  # every year of the data, one row each
+        years = sorted(row["fiscal_year"] for row in trend.select("fiscal_year").distinct().collect())
     wide = pivot(trend, "month_num", "fiscal_year", {y: f"revenue_{y}" for y in years}, F.sum("revenue_usd"))
     return wide.withColumn("is_peak", F.col("month_num").isin(*PEAK_MONTHS))
 

@@ -689,17 +689,15 @@ def master_summary(
     The measures are those of the row join, in which an order with s shipments and r returns
     appears max(s,1) * max(r,1) times. Shipments and returns are first reduced to one row per
     order, so the join cannot multiply rows, and each measure is weighted by the repetitions it
-    would have had. Shipment and return ids are primary keys, which makes their distinct counts sums.
+    would have had. Shipment and return ids are counted apart, each repeated id once.
     """
     shipped = shipments.groupBy("order_id").agg(
         F.count("*").alias("_ships"),
-        F.count("shipment_id").alias("_ship_ids"),
         *sums(_transit="total_transit_days", _demurrage="demurrage_charges_usd"),
         F.count("total_transit_days").alias("_transit_n"),
     )
     returned = returns.groupBy("order_id").agg(
         F.count("*").alias("_returns"),
-        F.count("return_id").alias("_return_ids"),
         F.sum("net_loss_usd").alias("_loss"),
     )
     once = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(1))
@@ -725,14 +723,15 @@ def master_summary(
         whole(F.sum(F.when(overdue, w))).alias("overdue_orders"),
         F.sum(F.when(overdue, dec("total_fob_value_usd", 18, 2) * w).otherwise(F.lit(0)))
         .cast("decimal(26,2)").alias("overdue_value_usd"),
-        whole(F.sum("_ship_ids")).alias("total_shipments"),
         round_mean(F.sum(F.col("_transit") * F.col("_r")), F.sum(F.col("_transit_n") * F.col("_r")), 1, scale=0)
         .alias("avg_transit_days"),
         money("_demurrage", F.col("_r")).cast("decimal(26,2)").alias("total_demurrage_usd"),
-        whole(F.sum("_return_ids")).alias("total_returns"),
         money("_loss", F.col("_s")).cast("decimal(26,2)").alias("total_return_loss_usd"),
     )
-    # Buyers, markets and products do not depend on the joins; they are counted on their own columns.
+    # Distinct ids do not depend on the repetitions of the join; they are counted on their own columns.
+    of_live = lambda fact: fact.join(live.select("order_id"), "order_id", "left_semi")
+    summary = with_totals(summary, of_live(shipments), {"total_shipments": F.countDistinct("shipment_id")})
+    summary = with_totals(summary, of_live(returns), {"total_returns": F.countDistinct("return_id")})
     return with_totals(summary, live, {
         "total_buyers": F.countDistinct("customer_id"),
         "markets_active": F.countDistinct("market_id"),

@@ -29,15 +29,13 @@ from exportlens.operators.sampling import sample_orders
 from exportlens.plans import analysis as A
 from exportlens.plans import Tables, view_builders
 from exportlens.sources.calendar import date_spine, dense_panel
-from exportlens.sources.schemas import FOREIGN_KEYS, SCHEMAS
+from exportlens.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 from exportlens.sources.tables import register_tables, register_views, row_counts, view
 from exportlens.sources.testdata import AS_OF, RECENCY_AS_OF, StarTables
 from exportlens.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TREND_YEARS = list(range(1995, 2002))
-
 
 def plain(df: DataFrame) -> DataFrame:
     """Types both engines compare alike."""
@@ -280,6 +278,7 @@ FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_foreign_key": lambda t: quality.dq_foreign_key(
         t["dim_markets"], "currency", t["dim_forex_rates"], "currency_code"
     ),
+    "dq_primary_keys": lambda t: quality.primary_key_report(t, PRIMARY_KEYS),
     "foreign_key_report": lambda t: quality.foreign_key_report(t, FOREIGN_KEYS),
     "dq_not_null": _dq_not_null,
     "dq_profile": lambda t: quality.dq_profile(
@@ -336,7 +335,7 @@ FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_seasonal_markets": _over_view("seasonal_intelligence", A.top_seasonal_markets),
     "peak_slow_months": _over_view("seasonal_intelligence", A.peak_slow_months),
     "demand_by_category": _over_view("demand_intelligence", A.demand_by_category),
-    "revenue_by_month_pivot": _over_trend(A.revenue_by_month_pivot, years=TREND_YEARS),
+    "revenue_by_month_pivot": _over_trend(A.revenue_by_month_pivot),
     "seasonality_index": _over_trend(A.seasonality_index),
     "growth_by_country": _over_view("demand_intelligence", A.growth_by_country),
     "yearly_growth": _over_view("executive_revenue", A.yearly_growth),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DecimalType,
     IntegerType,
@@ -10,86 +11,218 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    VarcharType,
 )
 
-# Column names, types and lengths of the nine tables. ``s<n>`` is text of at most n
-# characters, ``d<p>.<s>`` a decimal, ``i`` int, ``l`` bigint, ``t`` date; ``!`` marks not null.
-_TABLES: dict[str, str] = {
-    "dim_products": """
-        product_id s10!, sku_code s20, product_name s120!, category s30, subcategory s50,
-        brand_name s50, weight_kg d8.3, cogs_inr d10.2, india_mrp_inr d10.2, fob_price_usd d10.4,
-        gross_margin_pct_india d5.1, primary_material s40, is_handmade s1, is_sustainable s1,
-        is_export_ready s1, moq_units i, monthly_capacity_units i, lead_time_days i,
-        shelf_life_months i, hsn_code s15, marketplace_presence s40, product_launch_date t,
-        is_active s1, artisan_cluster s30""",
-    "dim_markets": """
-        market_id s5!, country s50!, region s30, currency s5, exchange_rate_to_inr d10.4,
-        home_decor_demand_score d4.1, market_entry_ease_score d4.1, regulatory_ease_score d4.1,
-        indian_craft_affinity_score d4.1, ecommerce_maturity_score d4.1, monthly_search_volume_k i,
-        avg_customs_duty_pct d5.2, amazon_presence s1, primary_marketplace s50,
-        gdp_per_capita_usd i, market_size_usd_mn d10.2, population_mn d8.2,
-        avg_transit_days_from_india i, composite_score d4.2, market_tier s10, vat_gst_pct d5.2,
-        payment_risk_score d4.1""",
-    "dim_customers": """
-        customer_id s10!, company_name s100, customer_type s50, market_id s5, country s50, city s50,
-        customer_tier s20, credit_limit_usd d12.2, payment_terms_days i, preferred_categories s100,
-        primary_platform s50, account_manager s50, registration_date t, is_active s1,
-        annual_revenue_band s20, lifetime_orders i, avg_order_value_usd d12.2""",
-    "dim_forex_rates": """
-        date t!, currency_code s5!, currency_pair s10, rate_to_inr d10.4, daily_change_pct d8.4,
-        month i, year i, quarter s5""",
-    "fact_export_orders": """
-        order_id l!, order_date t, product_id s10, market_id s5, customer_id s10, quantity_units i,
-        fob_price_usd_per_unit d10.4, discount_pct d5.2, net_fob_price_usd d10.4,
-        total_fob_value_usd d14.2, exchange_rate_on_date d10.4, total_fob_value_inr d16.2,
-        cogs_inr_per_unit d10.2, total_cogs_inr d16.2, gross_profit_inr d16.2,
-        gross_margin_pct d7.2, payment_terms_days i, payment_due_date t, payment_received_date t,
-        payment_delay_days i, payment_status s20, order_channel s30, order_status s20, incoterm s5,
-        fiscal_year i, quarter s5, month_num i, month_name s15, week_num i, is_repeat_order s1,
-        days_since_last_order i""",
-    "fact_shipment_details": """
-        shipment_id l!, order_id l, product_id s10, market_id s5, customer_id s10, shipment_date t,
-        estimated_arrival_date t, actual_arrival_date t, delay_days i, is_delayed s1,
-        shipping_line s30, port_of_loading s50, port_of_discharge s80, container_type s30,
-        hsn_code s15, declared_value_usd d14.2, freight_cost_usd d12.2, insurance_usd d12.2,
-        cif_value_usd d14.2, customs_duty_usd d12.2, port_handling_usd d12.2, last_mile_usd d12.2,
-        demurrage_charges_usd d12.2, total_landed_cost_usd d14.2, landed_to_fob_ratio d8.4,
-        total_transit_days i, customs_clearance_days i, shipment_status s20, delay_reason s50,
-        exporter_net_margin_usd d14.2""",
-    "fact_competitor_pricing": """
-        date t!, product_id s10!, market_id s5!, our_price_usd d10.2, competitor1_price_usd d10.2,
-        competitor2_price_usd d10.2, competitor3_price_usd d10.2, avg_competitor_price_usd d10.2,
-        our_price_index d6.1, price_competitiveness s20, landed_cost_usd d10.4,
-        gross_margin_on_our_price_pct d7.2, month_num i, fiscal_year i""",
-    "fact_market_demand": """
-        date t!, product_id s10!, market_id s5!, google_trends_score d5.1, daily_search_volume i,
-        yoy_search_growth_pct d7.2, social_media_mentions i, amazon_bsr i,
-        estimated_demand_units i, seasonality_index d5.3, demand_trend s15, month_num i,
-        fiscal_year i, quarter s5""",
-    "fact_returns": """
-        return_id l!, order_id l, product_id s10, market_id s5, customer_id s10, return_date t,
-        return_quantity i, return_reason s60, return_type s20, refund_amount_usd d12.2,
-        return_shipping_cost_usd d10.2, net_loss_usd d12.2, processing_status s30,
-        days_to_return i, is_first_return s1, return_month i, return_year i""",
+# Column names, types and lengths of the nine tables; True where a column may be null.
+_TABLES: dict[str, list[tuple[str, DataType, bool]]] = {
+    "dim_products": [
+        ("product_id", VarcharType(10), False),
+        ("sku_code", VarcharType(20), True),
+        ("product_name", VarcharType(120), False),
+        ("category", VarcharType(30), True),
+        ("subcategory", VarcharType(50), True),
+        ("brand_name", VarcharType(50), True),
+        ("weight_kg", DecimalType(8, 3), True),
+        ("cogs_inr", DecimalType(10, 2), True),
+        ("india_mrp_inr", DecimalType(10, 2), True),
+        ("fob_price_usd", DecimalType(10, 4), True),
+        ("gross_margin_pct_india", DecimalType(5, 1), True),
+        ("primary_material", VarcharType(40), True),
+        ("is_handmade", VarcharType(1), True),
+        ("is_sustainable", VarcharType(1), True),
+        ("is_export_ready", VarcharType(1), True),
+        ("moq_units", IntegerType(), True),
+        ("monthly_capacity_units", IntegerType(), True),
+        ("lead_time_days", IntegerType(), True),
+        ("shelf_life_months", IntegerType(), True),
+        ("hsn_code", VarcharType(15), True),
+        ("marketplace_presence", VarcharType(40), True),
+        ("product_launch_date", DateType(), True),
+        ("is_active", VarcharType(1), True),
+        ("artisan_cluster", VarcharType(30), True),
+    ],
+    "dim_markets": [
+        ("market_id", VarcharType(5), False),
+        ("country", VarcharType(50), False),
+        ("region", VarcharType(30), True),
+        ("currency", VarcharType(5), True),
+        ("exchange_rate_to_inr", DecimalType(10, 4), True),
+        ("home_decor_demand_score", DecimalType(4, 1), True),
+        ("market_entry_ease_score", DecimalType(4, 1), True),
+        ("regulatory_ease_score", DecimalType(4, 1), True),
+        ("indian_craft_affinity_score", DecimalType(4, 1), True),
+        ("ecommerce_maturity_score", DecimalType(4, 1), True),
+        ("monthly_search_volume_k", IntegerType(), True),
+        ("avg_customs_duty_pct", DecimalType(5, 2), True),
+        ("amazon_presence", VarcharType(1), True),
+        ("primary_marketplace", VarcharType(50), True),
+        ("gdp_per_capita_usd", IntegerType(), True),
+        ("market_size_usd_mn", DecimalType(10, 2), True),
+        ("population_mn", DecimalType(8, 2), True),
+        ("avg_transit_days_from_india", IntegerType(), True),
+        ("composite_score", DecimalType(4, 2), True),
+        ("market_tier", VarcharType(10), True),
+        ("vat_gst_pct", DecimalType(5, 2), True),
+        ("payment_risk_score", DecimalType(4, 1), True),
+    ],
+    "dim_customers": [
+        ("customer_id", VarcharType(10), False),
+        ("company_name", VarcharType(100), True),
+        ("customer_type", VarcharType(50), True),
+        ("market_id", VarcharType(5), True),
+        ("country", VarcharType(50), True),
+        ("city", VarcharType(50), True),
+        ("customer_tier", VarcharType(20), True),
+        ("credit_limit_usd", DecimalType(12, 2), True),
+        ("payment_terms_days", IntegerType(), True),
+        ("preferred_categories", VarcharType(100), True),
+        ("primary_platform", VarcharType(50), True),
+        ("account_manager", VarcharType(50), True),
+        ("registration_date", DateType(), True),
+        ("is_active", VarcharType(1), True),
+        ("annual_revenue_band", VarcharType(20), True),
+        ("lifetime_orders", IntegerType(), True),
+        ("avg_order_value_usd", DecimalType(12, 2), True),
+    ],
+    "dim_forex_rates": [
+        ("date", DateType(), False),
+        ("currency_code", VarcharType(5), False),
+        ("currency_pair", VarcharType(10), True),
+        ("rate_to_inr", DecimalType(10, 4), True),
+        ("daily_change_pct", DecimalType(8, 4), True),
+        ("month", IntegerType(), True),
+        ("year", IntegerType(), True),
+        ("quarter", VarcharType(5), True),
+    ],
+    "fact_export_orders": [
+        ("order_id", LongType(), False),
+        ("order_date", DateType(), True),
+        ("product_id", VarcharType(10), True),
+        ("market_id", VarcharType(5), True),
+        ("customer_id", VarcharType(10), True),
+        ("quantity_units", IntegerType(), True),
+        ("fob_price_usd_per_unit", DecimalType(10, 4), True),
+        ("discount_pct", DecimalType(5, 2), True),
+        ("net_fob_price_usd", DecimalType(10, 4), True),
+        ("total_fob_value_usd", DecimalType(14, 2), True),
+        ("exchange_rate_on_date", DecimalType(10, 4), True),
+        ("total_fob_value_inr", DecimalType(16, 2), True),
+        ("cogs_inr_per_unit", DecimalType(10, 2), True),
+        ("total_cogs_inr", DecimalType(16, 2), True),
+        ("gross_profit_inr", DecimalType(16, 2), True),
+        ("gross_margin_pct", DecimalType(7, 2), True),
+        ("payment_terms_days", IntegerType(), True),
+        ("payment_due_date", DateType(), True),
+        ("payment_received_date", DateType(), True),
+        ("payment_delay_days", IntegerType(), True),
+        ("payment_status", VarcharType(20), True),
+        ("order_channel", VarcharType(30), True),
+        ("order_status", VarcharType(20), True),
+        ("incoterm", VarcharType(5), True),
+        ("fiscal_year", IntegerType(), True),
+        ("quarter", VarcharType(5), True),
+        ("month_num", IntegerType(), True),
+        ("month_name", VarcharType(15), True),
+        ("week_num", IntegerType(), True),
+        ("is_repeat_order", VarcharType(1), True),
+        ("days_since_last_order", IntegerType(), True),
+    ],
+    "fact_shipment_details": [
+        ("shipment_id", LongType(), False),
+        ("order_id", LongType(), True),
+        ("product_id", VarcharType(10), True),
+        ("market_id", VarcharType(5), True),
+        ("customer_id", VarcharType(10), True),
+        ("shipment_date", DateType(), True),
+        ("estimated_arrival_date", DateType(), True),
+        ("actual_arrival_date", DateType(), True),
+        ("delay_days", IntegerType(), True),
+        ("is_delayed", VarcharType(1), True),
+        ("shipping_line", VarcharType(30), True),
+        ("port_of_loading", VarcharType(50), True),
+        ("port_of_discharge", VarcharType(80), True),
+        ("container_type", VarcharType(30), True),
+        ("hsn_code", VarcharType(15), True),
+        ("declared_value_usd", DecimalType(14, 2), True),
+        ("freight_cost_usd", DecimalType(12, 2), True),
+        ("insurance_usd", DecimalType(12, 2), True),
+        ("cif_value_usd", DecimalType(14, 2), True),
+        ("customs_duty_usd", DecimalType(12, 2), True),
+        ("port_handling_usd", DecimalType(12, 2), True),
+        ("last_mile_usd", DecimalType(12, 2), True),
+        ("demurrage_charges_usd", DecimalType(12, 2), True),
+        ("total_landed_cost_usd", DecimalType(14, 2), True),
+        ("landed_to_fob_ratio", DecimalType(8, 4), True),
+        ("total_transit_days", IntegerType(), True),
+        ("customs_clearance_days", IntegerType(), True),
+        ("shipment_status", VarcharType(20), True),
+        ("delay_reason", VarcharType(50), True),
+        ("exporter_net_margin_usd", DecimalType(14, 2), True),
+    ],
+    "fact_competitor_pricing": [
+        ("date", DateType(), False),
+        ("product_id", VarcharType(10), False),
+        ("market_id", VarcharType(5), False),
+        ("our_price_usd", DecimalType(10, 2), True),
+        ("competitor1_price_usd", DecimalType(10, 2), True),
+        ("competitor2_price_usd", DecimalType(10, 2), True),
+        ("competitor3_price_usd", DecimalType(10, 2), True),
+        ("avg_competitor_price_usd", DecimalType(10, 2), True),
+        ("our_price_index", DecimalType(6, 1), True),
+        ("price_competitiveness", VarcharType(20), True),
+        ("landed_cost_usd", DecimalType(10, 4), True),
+        ("gross_margin_on_our_price_pct", DecimalType(7, 2), True),
+        ("month_num", IntegerType(), True),
+        ("fiscal_year", IntegerType(), True),
+    ],
+    "fact_market_demand": [
+        ("date", DateType(), False),
+        ("product_id", VarcharType(10), False),
+        ("market_id", VarcharType(5), False),
+        ("google_trends_score", DecimalType(5, 1), True),
+        ("daily_search_volume", IntegerType(), True),
+        ("yoy_search_growth_pct", DecimalType(7, 2), True),
+        ("social_media_mentions", IntegerType(), True),
+        ("amazon_bsr", IntegerType(), True),
+        ("estimated_demand_units", IntegerType(), True),
+        ("seasonality_index", DecimalType(5, 3), True),
+        ("demand_trend", VarcharType(15), True),
+        ("month_num", IntegerType(), True),
+        ("fiscal_year", IntegerType(), True),
+        ("quarter", VarcharType(5), True),
+    ],
+    "fact_returns": [
+        ("return_id", LongType(), False),
+        ("order_id", LongType(), True),
+        ("product_id", VarcharType(10), True),
+        ("market_id", VarcharType(5), True),
+        ("customer_id", VarcharType(10), True),
+        ("return_date", DateType(), True),
+        ("return_quantity", IntegerType(), True),
+        ("return_reason", VarcharType(60), True),
+        ("return_type", VarcharType(20), True),
+        ("refund_amount_usd", DecimalType(12, 2), True),
+        ("return_shipping_cost_usd", DecimalType(10, 2), True),
+        ("net_loss_usd", DecimalType(12, 2), True),
+        ("processing_status", VarcharType(30), True),
+        ("days_to_return", IntegerType(), True),
+        ("is_first_return", VarcharType(1), True),
+        ("return_month", IntegerType(), True),
+        ("return_year", IntegerType(), True),
+    ],
 }
 
-_PLAIN = {"i": IntegerType(), "l": LongType(), "t": DateType()}
 
-
-def _field(name: str, code: str) -> StructField:
-    nullable = not code.endswith("!")
-    code = code.rstrip("!")
-    if code in _PLAIN:
-        return StructField(name, _PLAIN[code], nullable)
-    if code[0] == "d":
-        precision, scale = code[1:].split(".")
-        return StructField(name, DecimalType(int(precision), int(scale)), nullable)
-    return StructField(name, StringType(), nullable, {"max_length": int(code[1:])})
+def _field(name: str, kind: DataType, nullable: bool) -> StructField:
+    """A text is read as a plain string and keeps its length as metadata."""
+    if isinstance(kind, VarcharType):
+        return StructField(name, StringType(), nullable, {"max_length": kind.length})
+    return StructField(name, kind, nullable)
 
 
 SCHEMAS: dict[str, StructType] = {
-    table: StructType([_field(*column.split()) for column in columns.split(",")])
-    for table, columns in _TABLES.items()
+    table: StructType([_field(*column) for column in columns]) for table, columns in _TABLES.items()
 }
 
 PRIMARY_KEYS: dict[str, list[str]] = {

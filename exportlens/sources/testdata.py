@@ -24,6 +24,10 @@ AS_OF = "2001-06-30"
 # As-of day of customer recency, the last order date in the data.
 RECENCY_AS_OF = "2001-08-01"
 
+# An order id holds the order key, the line number and, in its lowest bits, the copy number.
+COPY_BITS = 20
+COPIES = 1 << COPY_BITS
+
 CURRENCIES = ["USD", "EUR", "GBP", "AED", "SGD", "ZAR", "JPY"]
 CURRENCY_OF_EVENT = {"view": "USD", "click": "EUR", "purchase": "GBP", "signup": "AED", "error": "SGD"}
 REGION_OF_NAME = {
@@ -48,6 +52,12 @@ def _pick(values: list, number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int") + 1)
 
 
+def _mixed(order_id: str) -> Column:
+    """Number that the attributes of an order line are derived from, without the gaps of its id."""
+    o = F.col(order_id)
+    return F.shiftright(o, COPY_BITS) + o % COPIES * 104729
+
+
 def _yes(pred: Column) -> Column:
     return F.when(pred, F.lit("Y")).otherwise(F.lit("N"))
 
@@ -207,16 +217,12 @@ class StarTables(Mapping[str, DataFrame]):
 
     @cached_property
     def lines(self) -> DataFrame:
-        """One line item per (order, line number).
-
-        The row_number filter becomes a group limit before the shuffle, so a repeated key sends at
-        most one row per task.
-        """
-        first = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+        """Every line item, with ``copy_no`` 0, 1, … among those of one (order, line number)."""
+        same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_linestatus",
+            "l_returnflag",
         )
-        ranked = self.raw("lineitem").withColumn("_rn", F.row_number().over(first))
-        return ranked.where("_rn = 1").drop("_rn")
+        return self.raw("lineitem").withColumn("copy_no", F.row_number().over(same) - 1)
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -226,7 +232,7 @@ class StarTables(Mapping[str, DataFrame]):
             _pick([15, 30, 45, 60, 90], F.col("c_custkey")).alias("payment_terms_days"),
         )
         number = F.col("l_linenumber")
-        order_id = F.col("l_orderkey") * 8 + number
+        order_id = (F.col("l_orderkey") * 8 + number) * COPIES + F.col("copy_no")
         status = (
             F.when(F.col("o_orderstatus") == "F", "Delivered")
             .when(F.col("o_orderstatus") == "O", "Shipped")
@@ -276,12 +282,12 @@ class StarTables(Mapping[str, DataFrame]):
     @cached_property
     def raw_shipments(self) -> DataFrame:
         """Delivered lines with the inputs of the landed-cost and timing formulas."""
-        o = F.col("order_id")
+        o = _mixed("order_id")
         supplier = F.col("l_suppkey")
         demurrage = F.when(o % 10 == 0, F.lit(50) + o % 350).otherwise(F.lit(0))
         delivered = self._orders_with_line.where("order_status = 'Delivered' AND l_linestatus = 'F'")
         return delivered.select(
-            o.alias("shipment_id"),
+            F.col("order_id").alias("shipment_id"),
             "order_id", "product_id", "market_id", "customer_id", "order_date", "quantity_units",
             "net_fob_price_usd", "total_fob_value_usd",
             (F.lit(1) + o % 3).cast("int").alias("handling_days"),
@@ -369,11 +375,11 @@ class StarTables(Mapping[str, DataFrame]):
     @cached_property
     def raw_returns(self) -> DataFrame:
         """Returned delivered lines with the inputs of the return formulas."""
-        o = F.col("order_id")
+        o = _mixed("order_id")
         share = dec(F.col("quantity_units") * (F.lit(5) + o % 6), 12, 0) * F.lit(Decimal("0.01"))
         returned = self._orders_with_line.where("order_status = 'Delivered' AND l_returnflag = 'R'")
         return returned.select(
-            o.alias("return_id"),
+            F.col("order_id").alias("return_id"),
             "order_id", "product_id", "market_id", "customer_id", "order_date", "net_fob_price_usd",
             F.greatest(round_half_even(share, 0).cast("int"), F.lit(1)).alias("return_quantity"),
             dec(F.lit(4) + o % 7, 5, 2).alias("return_shipping_rate_pct"),

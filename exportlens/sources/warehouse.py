@@ -11,7 +11,6 @@ import hashlib
 import tempfile
 import threading
 import uuid
-import warnings
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from exportlens.sources.tables import load_table
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``, or a temporary one in local mode.
 
-    None on a cluster that names no folder; tables are then derived in each query.
+    A cluster that names no folder raises: its executors share none that could be guessed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="exportlens-")
-    return None
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 class Warehouse(Mapping[str, DataFrame]):
@@ -38,31 +37,22 @@ class Warehouse(Mapping[str, DataFrame]):
     The folder carries the application id and a random part, so no run reads another run's tables.
     """
 
-    def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], label: str):
+    def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], label: str, folder: str | None = None):
         self.spark = spark
         self.source = source
-        base = shared_folder(spark)
+        base = (folder or shared_folder(spark)).rstrip("/")
         run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
         data = hashlib.md5(label.encode()).hexdigest()[:8]
-        self.root = f"{base}/exportlens/{run}/{data}" if base else None
+        self.root = f"{base}/exportlens/{run}/{data}"
         self._loaded: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if self.root is None:
-            return self.source[name]
         with self._lock:
             if name not in self._loaded:
-                df = self.source[name]
-                path = f"{self.root}/{name}"
-                try:
-                    load_table(df, path, name, mode="overwrite")
-                    df = self.spark.read.schema(df.schema).parquet(path)
-                except Exception as e:  # noqa: BLE001
-                    # A folder that cannot be written must not stop the queries; an error in the
-                    # data comes up again when the query itself derives the table.
-                    warnings.warn(f"{name} is derived in each query, loading failed: {e}", stacklevel=2)
-                self._loaded[name] = df
+                df, path = self.source[name], f"{self.root}/{name}"
+                load_table(df, path, name, mode="overwrite")
+                self._loaded[name] = self.spark.read.schema(df.schema).parquet(path)
             return self._loaded[name]
 
     def __iter__(self) -> Iterator[str]:

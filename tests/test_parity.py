@@ -7,7 +7,7 @@ import parity
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
-WITHOUT_STATEMENT = {"sample_orders"}
+WITHOUT_STATEMENT = set(entry.LLM_QUERIES) - set(entry.LLM_ORACLES)
 
 
 @pytest.fixture(scope="module")

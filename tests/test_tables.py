@@ -78,11 +78,10 @@ def test_warehouse_loads_once(spark):
     assert built == ["dim_forex_rates"] and list(house) == ["dim_forex_rates"] and len(house) == 1
 
 
-def test_unwritable_folder_falls_back(spark, tmp_path):
+def test_unwritable_folder_raises(spark, tmp_path):
     rates = spark.createDataFrame([], SCHEMAS["dim_forex_rates"])
-    house = Warehouse(spark, {"dim_forex_rates": rates}, "x")
     blocked = tmp_path / "file"
     blocked.write_text("not a folder")
-    house.root = str(blocked)
-    with pytest.warns(UserWarning, match="derived in each query"):
-        assert house["dim_forex_rates"] is rates
+    house = Warehouse(spark, {"dim_forex_rates": rates}, "x", folder=str(blocked))
+    with pytest.raises(Exception, match="file"):
+        house["dim_forex_rates"]
