@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -178,7 +179,7 @@ def pages_to_warc(pages: DataFrame, folder: str, least_bytes: int = 0, date: str
     small ARC file of its task, which the converter parses and turns into WARC records. Of pages with
     equal payloads of ``least_bytes`` or more, that with the smallest page_id is a response and the
     others revisit it. A file holds about ``CHUNK`` bytes, or one page if that is larger; it is one
-    row of Spark's text writer, whose line end is the end of the last record. Null html is an empty
+    row of Spark's text writer, which compresses it and whose line end is the end of the last record. Null html is an empty
     payload, a null url is "-".
     """
     payload = F.coalesce("html", F.lit(""))
@@ -216,7 +217,7 @@ def pages_to_warc(pages: DataFrame, folder: str, least_bytes: int = 0, date: str
             yield flush(arcs, facts)
 
     files = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    files.write.mode("errorifexists").option("lineSep", END.decode()).option("maxRecordsPerFile", 1).text(folder)
+    files.write.mode("errorifexists").option("lineSep", END.decode()).option("maxRecordsPerFile", 1).option("compression", "gzip").text(folder)
 
 
 def read_warc_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,7 +230,7 @@ def read_warc_files(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             rows = []
             for data in batch.column("content"):
-                for fields, block in read_warc(data.as_py()):
+                for fields, block in read_warc(gzip.decompress(data.as_py())):
                     header, payload = split_http(block)
                     digest = fields["warc-payload-digest"].removeprefix("sha1:")
                     revisit = fields["warc-type"] == "revisit"
