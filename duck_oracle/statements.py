@@ -82,9 +82,9 @@ add("composite_score_tier", ["m"], """SELECT market_id::BIGINT AS market_id, com
 add("product_margins", ["p"], """SELECT product_id, sku_code, india1::DOUBLE/1e1 AS gross_margin_pct_india, mrp0::DOUBLE AS india_mrp_inr FROM p""")
 add("date_spine", [], f"""SELECT {day("d")} AS date FROM (SELECT unnest(generate_series(min(o_orderdate::DATE)::TIMESTAMP,
   max(o_orderdate::DATE)::TIMESTAMP, INTERVAL 2 DAY)) AS d FROM orders)""")
-add("dense_panel", ["d0"], f"""SELECT category, market_id, {day("d")} AS date
-FROM (SELECT DISTINCT p_type AS category FROM part), (SELECT DISTINCT n_nationkey::BIGINT AS market_id FROM nation),
-  (SELECT unnest(generate_series(min(date)::TIMESTAMP, max(date)::TIMESTAMP, INTERVAL 2 DAY)) AS d FROM d0)""")
+add("dense_panel", ["d0"], f"""SELECT market_id, {day("d")} AS date, count(*) AS n_products
+FROM (SELECT p_partkey FROM part), (SELECT n_nationkey::BIGINT AS market_id FROM nation),
+  (SELECT unnest(generate_series(min(date)::TIMESTAMP, max(date)::TIMESTAMP, INTERVAL 2 DAY)) AS d FROM d0) GROUP BY ALL""")
 _cents = "round(l_extendedprice*100)::BIGINT"
 add("rounding", ["lines"], f"""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, printf('L%03d', l_linenumber) AS line_code,
   (({_cents}*5 + 5) // 10)/1e2 AS half_up, {half_even(f"{_cents}*5", "10")}::DOUBLE/1e2 AS half_even,

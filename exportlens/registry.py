@@ -179,12 +179,13 @@ def _date_spine(t: StarTables) -> DataFrame:
 
 
 def _dense_panel(t: StarTables) -> DataFrame:
-    """Category x market x every second day of the demand dates."""
-    dates = t.raw_demand
-    return dense_panel(
-        t.dim_products, "category", t.dim_markets, "market_id",
-        dates.agg(F.min("date")).scalar(), dates.agg(F.max("date")).scalar(), 2,
+    """Product x market x every second day of the demand dates, counted by market and day."""
+    days = t.raw("events").select(F.col("ts").cast("date").alias("d"))
+    panel = dense_panel(
+        t.raw("part"), "p_partkey", t.dim_markets, "market_id",
+        days.agg(F.min("d")).scalar(), days.agg(F.max("d")).scalar(), 2,
     )
+    return panel.groupBy("market_id", "date").agg(F.count("*").alias("n_products"))
 
 
 # --- columns --------------------------------------------------------------------------------
