@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exportlens.llm import bpe, classifier, embeddings, licenses, lines, minhash, mixing, quality, secrets, warc
+from exportlens.llm.oracles import ORACLES  # noqa: F401
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAST_SCORE = 0.3
@@ -34,7 +35,7 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.license_matches(_table(spark, folder, "documents"))
+    return licenses.license_matches(_table(spark, folder, "documents")).withColumn("line", F.col("line").cast("long"))
 
 
 def embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,6 +79,3 @@ QUERIES = {
     "op9_source_mixing": source_mixing,
     "op10_quality_classifier": quality_classifier,
 }
-
-#: DuckDB statements of the queries that SQL expresses.
-ORACLES: dict[str, str] = {}
