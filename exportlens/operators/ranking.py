@@ -1,8 +1,8 @@
 """Ranks, top-k, previous-row growth and running totals.
 
 A window without PARTITION BY pulls its whole input into one task. The operators here use one only
-on inputs whose size is fixed (rank buckets, the n rows of a top-n, years, cost components); a rank
-over an unbounded set goes through value buckets.
+on inputs whose size is fixed (counts of rank ranges, the n rows of a top-n, years, cost components);
+a rank over an unbounded set goes through sorted ranges.
 """
 
 from __future__ import annotations
@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from exportlens.functions import pct
+from exportlens.sources.warehouse import written
 
 RANK_BUCKETS = 4096
+# ``monotonically_increasing_id`` holds the partition above this many bits of row number.
+_ROW_BITS = 33
 # Value range of a 64-bit hash, as bounds for ``with_rank``.
 HASH_BOUNDS = (-(2.0**63), 2.0**63)
 
@@ -33,6 +36,11 @@ def _bucket(value: Column, lo: Column, hi: Column, descending: bool) -> Column:
     return F.when(value.isNull(), F.lit(RANK_BUCKETS)).otherwise(place)
 
 
+def sorted_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """The rows in total order over the partitions, whose bounds are sampled from all of ``order``."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def with_rank(
     df: DataFrame,
     by: str,
@@ -44,28 +52,35 @@ def with_rank(
 ) -> DataFrame:
     """1-based position of every row by the number ``by``, ties by the unique key ``tie``.
 
-    NULLs come last. Rows are numbered inside value buckets, in parallel, and shifted by the
-    number of rows in earlier buckets; only the bucket counts (at most 4,097 rows) meet in one
-    task, and that is also all that is broadcast. ``bounds`` gives the usual value range and saves
-    the pass that finds it; a value beyond it is still ranked exactly.
+    NULLs come last. The rows are dealt by sampled ranges of (by, tie), so neither an outlier nor a
+    value that most rows share fills one task: its ties are dealt too. The sorted ranges are numbered
+    and written once; only the ranges' counts meet in one task. ``bounds`` is for values known to be
+    spread evenly over them, such as hashes: rows are then numbered inside equal-width buckets,
+    without sampling or writing. A value beyond the bounds is still ranked exactly.
     """
+    order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
     if bounds:
         lo, hi = (F.lit(b) for b in bounds)
+        inside = Window.partitionBy("_bucket").orderBy(order, *tie)
+        placed = df.withColumn("_bucket", _bucket(F.col(by), lo, hi, descending))
+        numbered = placed.withColumn("_place", F.row_number().over(inside))
     else:
-        lo, hi = df.agg(F.min(by)).scalar(), df.agg(F.max(by)).scalar()
-    placed = df.withColumn("_bucket", _bucket(F.col(by), lo, hi, descending))
+        ranges = sorted_ranges(df, order, *tie)
+        placed = numbered = written(ranges.withColumn("_at", F.monotonically_increasing_id())).withColumns({
+            "_bucket": F.shiftright("_at", _ROW_BITS),
+            "_place": F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1) + 1,
+        }).drop("_at")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_bucket")
         .agg(F.count("*").alias("_n"))
         .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
-    inside = Window.partitionBy("_bucket").orderBy(order, *tie)
+    # One row per bucket or per range, at most a few thousand.
     return (
-        placed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(rank, F.col("_offset") + F.row_number().over(inside))
-        .drop("_bucket", "_offset")
+        numbered.join(F.broadcast(offsets), "_bucket")
+        .withColumn(rank, F.col("_offset") + F.col("_place"))
+        .drop("_bucket", "_offset", "_place")
     )
 
 

@@ -47,6 +47,7 @@ from exportlens.operators.relative import (
     with_total,
 )
 from exportlens.plans import labels as L
+from exportlens.sources.warehouse import written
 from exportlens.plans.views import (
     GDP_WEIGHT,
     PEAK_MONTHS,
@@ -107,7 +108,7 @@ def score_markets(v2: DataFrame, weights: dict[str, Decimal] = PRIORITY_WEIGHTS)
 
 def market_ranking(scored: DataFrame) -> DataFrame:
     """Markets by falling priority with their position."""
-    return with_rank(scored, "priority_score", ["market_id"], bounds=(0, 10)).select(
+    return with_rank(scored, "priority_score", ["market_id"]).select(
         "rank", "market_id", "country", "region", "final_score", "priority_score", "entry_tier",
         "market_size_usd_mn",
     )
@@ -198,7 +199,7 @@ def landed_cost_rollup(v4: DataFrame) -> DataFrame:
 def landed_cost_by_market(v4: DataFrame) -> DataFrame:
     """Market means ranked by exporter margin, with the margin's traffic light."""
     rollup = landed_cost_rollup(v4)
-    ranked = with_rank(rollup, "avg_exporter_margin", ["country", "region"], bounds=(0, 100))
+    ranked = with_rank(rollup, "avg_exporter_margin", ["country", "region"])
     return ranked.withColumn("margin_band", margin_band("avg_exporter_margin"))
 
 
@@ -319,7 +320,7 @@ def margin_revenue_points(v3: DataFrame) -> DataFrame:
 
 def revenue_mix(v14: DataFrame) -> DataFrame:
     """Share of revenue of every category and subcategory row, one digit."""
-    df = share_of_total(v14, "total_revenue_usd", 1, name="pie_share_pct")
+    df = share_of_total(written(v14), "total_revenue_usd", 1, name="pie_share_pct")
     return df.select(
         "category", "subcategory", "total_revenue_usd", "revenue_share_pct", "avg_margin_pct",
         "product_count", "markets_served", "pie_share_pct",
@@ -328,7 +329,7 @@ def revenue_mix(v14: DataFrame) -> DataFrame:
 
 def price_index_histogram(v7: DataFrame, bins: int = 30) -> DataFrame:
     """Distribution of the mean price index in equal bins."""
-    return histogram(drop_null(v7, "avg_price_index"), "avg_price_index", bins)
+    return histogram(written(drop_null(v7.select("avg_price_index"), "avg_price_index")), "avg_price_index", bins)
 
 
 def category_margin_bands(v14: DataFrame) -> DataFrame:
@@ -388,9 +389,9 @@ def top_seasonal_markets(v13: DataFrame, n: int = 5) -> DataFrame:
 def peak_slow_months(v13: DataFrame, markets: int = 5, k: int = 3) -> DataFrame:
     """Best and worst months of the top markets, as ordered strings.
 
-    One monthly rollup serves both the choice of the markets and their months.
+    One monthly rollup, evaluated once, serves the choice of the markets and both ends of their months.
     """
-    monthly = _by(v13, "country", "month_num", "month_name").agg(_total("total_revenue_usd").alias("_rev"))
+    monthly = written(_by(v13, "country", "month_num", "month_name").agg(_total("total_revenue_usd").alias("_rev")))
     chosen = top_n(
         monthly.groupBy("country").agg(F.sum("_rev").alias("_all")),
         [F.col("_all").desc(), F.col("country")], markets,

@@ -171,19 +171,20 @@ def category_mix(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 def seasonal_intelligence(orders: DataFrame, markets: DataFrame, products: DataFrame) -> DataFrame:
     """Monthly revenue per country and category, ranked inside the year."""
-    states = ["total_orders", "total_units", "total_revenue_usd", "_margin", "_margin_n"]
-    by_id = not_cancelled(orders).groupBy(
-        "market_id", "product_id", "month_num", "month_name", "fiscal_year"
-    ).agg(
-        F.count("order_id").alias("total_orders"),
-        *sums(total_units="quantity_units", total_revenue_usd="total_fob_value_usd", _margin="gross_margin_pct"),
-        F.count("gross_margin_pct").alias("_margin_n"),
+    # Ids are nearly unique per row here, so the names are attached first and one aggregate remains.
+    live = not_cancelled(orders).select(
+        "market_id", "product_id", "month_num", "month_name", "fiscal_year",
+        "order_id", "quantity_units", "total_fob_value_usd", "gross_margin_pct",
     )
-    named = by_id.join(markets.select("market_id", "country", "region"), "market_id").join(
+    named = live.join(markets.select("market_id", "country", "region"), "market_id").join(
         products.select("product_id", "category"), "product_id"
     )
     keys = ["country", "region", "category", "month_num", "month_name", "fiscal_year"]
-    df = merge_states(named, keys, states)
+    df = named.groupBy(*keys).agg(
+        F.count("order_id").alias("total_orders"),
+        *sums(total_units="quantity_units", total_revenue_usd="total_fob_value_usd", _margin="gross_margin_pct"),
+        F.count("gross_margin_pct").alias("_margin_n"),
+    )
     df = rank_over_agg(
         df, ["country", "category", "fiscal_year"], F.col("total_revenue_usd").desc_nulls_first(),
         rank="revenue_rank_in_year",
@@ -404,12 +405,11 @@ def landed_cost_analysis(
     for name in ("net_fob_price_usd", "landed_to_fob_ratio"):
         aggs += [F.sum(name).alias(f"{name}_s"), F.count(name).alias(f"{name}_n")]
     aggs.append(money_sum("demurrage_charges_usd").alias("total_demurrage_usd"))
-    by_id = joined.groupBy("market_id", "product_id").agg(*aggs)
-    named = by_id.join(markets.select("market_id", "country", "region"), "market_id").join(
+    named = joined.join(markets.select("market_id", "country", "region"), "market_id").join(
         products.select("product_id", "category", "product_name"), "product_id"
     )
     keys = ["country", "region", "category", "product_name"]
-    df = merge_states(named, keys, by_id.columns[2:])
+    df = named.groupBy(*keys).agg(*aggs)
     ratio_sum, ratio_n = "landed_to_fob_ratio_s", "landed_to_fob_ratio_n"
     return df.select(
         *keys, "total_shipments",
@@ -482,12 +482,11 @@ def competitor_benchmark(pricing: DataFrame, markets: DataFrame, products: DataF
     aggs = [F.count("*").alias("data_points")]
     for name, (col, _, _) in means.items():
         aggs += [F.sum(col).alias(f"{name}_s"), F.count(col).alias(f"{name}_n")]
-    by_id = pricing.groupBy("market_id", "product_id").agg(*aggs)
-    named = by_id.join(markets.select("market_id", "country", "region"), "market_id").join(
+    named = pricing.join(markets.select("market_id", "country", "region"), "market_id").join(
         products.select("product_id", "category", "subcategory", "product_name"), "product_id"
     )
     keys = ["country", "region", "category", "subcategory", "product_name"]
-    df = merge_states(named, keys, by_id.columns[2:])
+    df = named.groupBy(*keys).agg(*aggs)
 
     ours, ours_n = dec("our_avg_price_usd_s", 20, 2), F.col("our_avg_price_usd_n")
     theirs, theirs_n = dec("avg_market_price_usd_s", 20, 2), F.col("avg_market_price_usd_n")

@@ -31,6 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def written(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The rows of ``df``, evaluated once and written to the shared folder; whoever needs them twice reads them.
+
+    A lost executor then costs a re-read, and every reader sees the same rows.
+    """
+    spark = df.sparkSession
+    base = (folder or shared_folder(spark)).rstrip("/")
+    path = f"{base}/exportlens/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Warehouse(Mapping[str, DataFrame]):
     """Mapping of table name to a scan of the written table; a table is loaded on first use.
 

@@ -179,6 +179,23 @@ def test_with_rank_matches_a_plain_sort(spark, descending):
         assert got == want
 
 
+def test_rank_ranges_survive_a_hot_value_and_an_outlier(spark):
+    data = [(i, 10**15 if i == 0 else 5 if i % 10 else i) for i in range(20000)]
+    df = spark.createDataFrame(data, "id int, x long").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = R.sorted_ranges(df, F.col("x").desc_nulls_last(), "id").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) <= 0.25 * len(data)
+        got = {r.id: r.rank for r in R.with_rank(df, "x", ["id"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {r[0]: i for i, r in enumerate(sorted(data, key=lambda r: (-r[1], r[0])), 1)}
+
+
+def test_rank_of_an_empty_table(spark):
+    assert R.with_rank(spark.createDataFrame([], "id int, x long"), "x", ["id"]).collect() == []
+
+
 def test_with_rank_of_equal_values(spark):
     df = spark.createDataFrame([(2, D("1.0")), (1, D("1.0"))], "id int, x decimal(4,1)")
     assert rows(R.with_rank(df, "x", ["id"]).select("rank", "id"), "rank") == [(1, 1), (2, 2)]
