@@ -20,11 +20,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks, n_chars as they are now; documents of which nothing is left go."""
-    cleaned = lines.dedup_lines(docs)
-    cleaned = cleaned.where("n_removed_chunks = 0 OR clean_text RLIKE '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]'")
+    """Texts without repeated passages, n_chars as they are now; documents of which nothing is left go."""
+    cleaned = lines.dedup_passages(docs)
+    cleaned = cleaned.where("n_removed_lines = 0 OR clean_text RLIKE '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]'")
     return cleaned.withColumn("text", F.col("clean_text")).withColumn("n_chars", F.when(
-        F.col("n_removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+        F.col("n_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Line dedup by content-defined chunks. DataFrame expressions only."""
+"""Line dedup by content-defined chunks, and by passages of any place. DataFrame expressions only."""
 
 from __future__ import annotations
 
@@ -91,3 +91,79 @@ def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 4, least_words:
         "n_removed_lines": count(lines(removed)),
         "clean_text": clean,
     }).drop("_ld_key", "_ld_doc", "_ld_hash", "_ld_gone")
+
+
+def _passages(text: Column, least_words: int) -> Column:
+    """Units of a text: long lines, and pairs of successive lines with words; arrays of (i, j, k, long_i, long_j, digest).
+
+    i and j are the places of a unit's first and last line, k is the place of the line with words after j,
+    or the number of lines. The digest is the SHA-256 of all bytes from line i to line j.
+    """
+    lines = F.split(text, "\n")
+    long = lambda x: F.when(F.length(x) >= 2 * least_words - 1, F.regexp_count(x, F.lit(WORD)) >= least_words).otherwise(F.lit(False))
+    full = lambda l: F.filter(F.transform(l, lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), F.struct(i.alias("i"), long(x).alias("long")))), lambda x: x.isNotNull())  # noqa: E731, E741
+    digest = lambda l, i, j: F.unhex(F.sha2(F.array_join(F.slice(l, i + 1, j - i + 1), "\n"), 256))  # noqa: E731, E741
+
+    # Each step is bound once by a one-element transform, so later uses don't repeat the work.
+    def units(x):
+        def unit(w, at, last):
+            return F.struct(w["i"].alias("i"), last["i"].alias("j"), F.coalesce(F.get(x["w"], at)["i"], F.size(x["l"])).alias("k"),
+                            w["long"].alias("long_i"), last["long"].alias("long_j"), digest(x["l"], w["i"], last["i"]).alias("digest"))
+
+        single = F.transform(x["w"], lambda w, p: F.when(w["long"], unit(w, p + 1, w)))
+        pair = F.transform(x["w"], lambda w, p: F.when(p + 1 < F.size(x["w"]), unit(w, p + 2, F.get(x["w"], p + 1))))
+        return F.filter(F.concat(single, pair), lambda u: u.isNotNull())
+
+    one = F.transform(F.array(F.struct(lines.alias("l"))), lambda x: F.struct(x["l"].alias("l"), full(x["l"]).alias("w")))
+    return F.transform(one, units)[0]
+
+
+def dedup_passages(docs: DataFrame, least_words: int = 50) -> DataFrame:
+    """``docs`` with columns n_lines, n_removed_lines and clean_text; passages are found in any surroundings.
+
+    A unit is one line of ``least_words`` words or more, or two successive lines with words and the blank
+    ones between. Of equal units anywhere the one in the smallest (doc_id, text hash, place) stays whole. A
+    long line goes if an equal one stays elsewhere, whatever is next to it. A shorter line goes
+    if a pair it is in stays elsewhere, unless it is in a pair that stays here for others: so a repeated run of
+    lines goes over its whole common extent, and every repeated unit of short lines is left in one place. A line
+    that goes takes the blank lines after it along. Units are equal by the SHA-256 of all their bytes.
+
+    Null text: null clean_text and counts of 0. Empty text: one empty line, which stays. A null
+    doc_id sorts first. Rows equal in doc_id and text share one fate. Other columns stay; an existing
+    column of an output's name, or one whose name begins with ``_ld_``, raises. Texts are shuffled once, by
+    document, to meet their removed places; the units are shuffled as digests, and a hot unit is one state per task.
+    """
+    own = ["n_lines", "n_removed_lines", "clean_text"]
+    if clash := [c for c in docs.columns if c in own or c.startswith("_ld_")]:
+        raise ValueError(f"columns exist already: {clash}")
+    key = F.xxhash64("text")
+    units = docs.where("text IS NOT NULL").select("doc_id", key.alias("h"), F.explode(_passages(F.col("text"), least_words)).alias("u")).select("doc_id", "h", "u.*")
+    units = cut(units)
+    place = F.struct("doc_id", "h", "i")
+    first = units.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", "first")
+    again = units.join(first, "digest").withColumn("stays", place.eqNullSafe(F.col("first")))
+
+    # A line of a unit as one number: its place and the place up to which it goes.
+    code = lambda at, upto: F.shiftleft(F.col(at).cast("long"), 31) + F.col(upto)
+    single = F.col("i") == F.col("j")
+    ends = F.when(single, F.array(code("i", "k"))).otherwise(F.array_compact(F.array(
+        F.when(~F.col("long_i"), code("i", "j")), F.when(~F.col("long_j"), code("j", "k")))))
+    marks = again.select("doc_id", "h", "stays", F.explode(ends).alias("line"))
+    marks = marks.groupBy("doc_id", "h").agg(F.collect_set(F.when(F.col("stays"), F.col("line"))).alias("here"), F.collect_set(F.when(~F.col("stays"), F.col("line"))).alias("there"))
+    gone = marks.select(F.col("doc_id").alias("_ld_doc"), F.col("h").alias("_ld_hash"), F.array_sort(F.array_except("there", "here")).alias("_ld_gone"))
+
+    df = docs.withColumn("_ld_key", key)
+    df = df.join(gone.where(F.size("_ld_gone") > 0), F.col("doc_id").eqNullSafe(F.col("_ld_doc")) & (F.col("_ld_key") == F.col("_ld_hash")), "left")
+    begin = lambda c: F.shiftright(c, 31).cast("int")
+    end = lambda c: c.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    lines = F.split("text", "\n")
+    froms = F.concat(F.array(F.lit(0)), F.transform("_ld_gone", end))
+    tos = F.concat(F.transform("_ld_gone", begin), F.array(F.size(lines)))
+    kept = F.transform(F.array(lines), lambda x: F.flatten(F.zip_with(froms, tos, lambda a, b: F.slice(x, a + 1, b - a))))[0]
+    removed = F.aggregate("_ld_gone", F.lit(0), lambda a, c: a + end(c) - begin(c))
+    untouched = F.col("_ld_gone").isNull()
+    return df.withColumns({
+        "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+        "n_removed_lines": F.when(untouched, F.lit(0)).otherwise(removed).cast("long"),
+        "clean_text": F.when(untouched, F.col("text")).otherwise(F.array_join(kept, "\n")),
+    }).drop("_ld_key", "_ld_doc", "_ld_hash", "_ld_gone")
