@@ -34,7 +34,7 @@ def plain(docs, least_words=50):
     return out
 
 
-@pytest.mark.parametrize("shape", [(1, 60, ""), (3, 20, ""), (8, 10, ""), (2, 4, "")])
+@pytest.mark.parametrize("shape", [(1, 60, ""), (1, 60, "\n"), (3, 20, ""), (4, 15, "\n"), (8, 10, ""), (2, 4, "")])
 def test_planted_passages_go_from_unique_surroundings(spark, shape):
     count, size, blank = shape
     rng = random.Random(count)
