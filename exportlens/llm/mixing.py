@@ -18,6 +18,8 @@ TOPIC_WORD = 5  # bytes from which a word counts for the topic
 MARGINS = ["source", "lang", "topic"]
 FEW_CELLS = 100_000  # cells, of some 60 bytes, up to which the driver rakes them in memory
 CELLS_OF_A_TASK = 100_000
+RARE = 0.01  # part of a margin's target whose values, the rarest ones, don't limit the rate
+MISS = 1e-3  # part of a margin's target that chances of 1 in single cells may leave unreached
 
 
 def with_topic(docs: DataFrame) -> DataFrame:
@@ -51,7 +53,7 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, (F.pow("t", F.lit(power)) / total).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-3, sweeps: int = 40) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-3, sweeps: int = 40, most: float | None = None) -> DataFrame:
     """(margins…, tokens, weight) with weights whose sums by every margin agree with its targets.
 
     Each sweep scales the weights to one margin after the other, which converges to the weights
@@ -59,23 +61,27 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     documents; only its largest relative deviation comes to the driver. Targets that no weights can
     reach together, as empty cells may make them, stop when the deviation no longer falls: the margin
     raked last is then exact, the others are as near as they get. Cells of a margin's value without a
-    target, or with a target of 0, get no weight.
+    target, or with a target of 0, get no weight. ``most``, if given, is the largest weight of a token: a
+    cell that would get more is held there, and a sweep scales the others to what is left of the target.
     """
     names = list(targets)
     cells = cut(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
     count = cells.count()
     if count <= FEW_CELLS:
-        return _rake_few(cells, targets, tolerance, sweeps)
+        return _rake_few(cells, targets, tolerance, sweeps, most)
     cells = cells.coalesce(1 + count // CELLS_OF_A_TASK)
     last = float("inf")
     table = {m: cut(targets[m].where("target > 0").select(F.col(m).alias("_m"), "target").coalesce(1)) for m in names}
     for _ in range(sweeps):
         off = F.lit(0.0)
         for m in names:
-            sums = cells.groupBy(F.col(m).alias("_k")).agg(F.sum("weight").alias("_s"))
-            scale = sums.join(table[m], F.col("_k").eqNullSafe(F.col("_m"))).select("_k", (F.col("target") / F.col("_s")).alias("_f"))
-            cells = cells.join(scale, F.col(m).eqNullSafe(F.col("_k"))).withColumn("weight", F.col("weight") * F.col("_f")).withColumn(
-                f"_off_{m}", F.abs(F.col("_f") - 1)).drop("_k", "_f")
+            limit = F.lit(float("inf")) if most is None else F.col("tokens") * most
+            held = F.col("weight") >= limit * (1 - 1e-12)
+            sums = cells.groupBy(F.col(m).alias("_k")).agg(F.sum("weight").alias("_s"), F.sum(F.when(held, F.col("weight")).otherwise(0.0)).alias("_c"))
+            scale = sums.join(table[m], F.col("_k").eqNullSafe(F.col("_m"))).select("_k", (F.col("target") / F.col("_s")).alias("_f"), F.when(
+                (F.col("target") > F.col("_s")) & (F.col("_s") > F.col("_c")), (F.col("target") - F.col("_c")) / (F.col("_s") - F.col("_c"))).otherwise(F.col("target") / F.col("_s")).alias("_g"))
+            cells = cells.join(scale, F.col(m).eqNullSafe(F.col("_k"))).withColumn("weight", F.least(F.col("weight") * F.col("_g"), limit)).withColumn(
+                f"_off_{m}", F.abs(F.col("_f") - 1)).drop("_k", "_f", "_g")
             off = F.greatest(off, F.col(f"_off_{m}"))
         cells = cut(cells.withColumn("_off", off).drop(*[f"_off_{m}" for m in names]))
         worst = cells.agg(F.max("_off")).first()[0]
@@ -86,7 +92,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     return cells
 
 
-def _rake_few(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, sweeps: int) -> DataFrame:
+def _rake_few(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, sweeps: int, most: float | None = None) -> DataFrame:
     """The same for cells that are known to be few."""
     table = cells.toPandas()
     weight, margins = table["weight"].to_numpy().copy(), []
@@ -94,15 +100,18 @@ def _rake_few(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float,
         codes, values = pd.factorize(table[m], use_na_sentinel=False)
         aim = {None if pd.isna(r[m]) else r[m]: float(r["target"]) for r in df.where("target > 0").collect()}
         margins.append((codes, np.array([aim.get(None if pd.isna(v) else v, 0.0) for v in values])))
+    limit = np.inf if most is None else table["tokens"].to_numpy() * most
     last = float("inf")
     for _ in range(sweeps):
         worst = 0.0
         for codes, aim in margins:
+            held = np.bincount(codes, weights=np.where(weight >= limit * (1 - 1e-12), weight, 0.0), minlength=len(aim))
             sums = np.bincount(codes, weights=weight, minlength=len(aim))
             scale = np.divide(aim, sums, out=np.zeros_like(aim), where=sums > 0)
             used = (aim > 0) & (sums > 0)
             worst = max(worst, float(np.abs(scale[used] - 1).max(initial=0.0)))
-            weight *= scale[codes]
+            grow = np.where((aim > sums) & (sums > held), np.divide(aim - held, sums - held, out=np.zeros_like(aim), where=sums > held), scale)
+            weight = np.minimum(weight * grow[codes], limit)
         if worst <= tolerance or worst > 0.99 * last:
             break
         last = worst
@@ -111,6 +120,57 @@ def _rake_few(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float,
     return cells.sparkSession.createDataFrame(rows, cells.schema).where("weight > 0")
 
 
+def _shares(weights: DataFrame, aims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """By margin (margin, target, share, reached): parts of the targets, tokens and weights of the values in ``weights``."""
+    out = {}
+    for m, aim in aims.items():
+        sums = weights.groupBy(F.col(m).alias("_k")).agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w"))
+        both = cut(sums.join(aim.select(F.col(m).alias("_m"), "target"), F.col("_k").eqNullSafe(F.col("_m"))).coalesce(1))
+        all_ = both.agg(F.sum("target"), F.sum("t"), F.sum("w")).first()
+        out[m] = both.select(F.col("_k").alias(m), *[(F.col(c) / total).alias(n) for c, n, total in zip(("target", "t", "w"), ("target", "share", "reached"), all_)])
+    return out
+
+
+def _largest_rate(target: np.ndarray, share: np.ndarray) -> float:
+    """Rate up to which a margin's values have enough tokens, but for those hardest to reach that hold ``RARE`` of the target."""
+    ratio = share / target
+    order = np.argsort(ratio)
+    return min(1.0, float(ratio[order][np.searchsorted(np.cumsum(target[order]), RARE, side="right"):].min(initial=1.0)))
+
+
+def _reachable(target: np.ndarray, share: np.ndarray, rate: float) -> float:
+    """Factor of the targets of which each value gets as much as it has, so that all is dealt."""
+    limit = share / rate
+    order = np.argsort(limit / target)
+    full, rest = np.cumsum(limit[order]), 1 - np.cumsum(target[order])
+    at = np.flatnonzero((limit / target)[order] * rest + full >= 1 - 1e-12)
+    k = int(at[0]) if len(at) else len(order) - 1
+    return (1 - (full[k - 1] if k else 0.0)) / float(target[order][k:].sum())
+
+
+def _limited(weights: DataFrame, aims: dict[str, DataFrame], rate: float | None) -> tuple[DataFrame, float]:
+    """The raked weights where no chance exceeds 1, and the rate; weights within the limits stay as they are."""
+    tokens, whole, steepest = weights.agg(F.sum("tokens"), F.sum("weight"), F.max(F.col("weight") / F.col("tokens"))).first()
+    least = min(1.0, whole / (tokens * steepest))  # up to here no cell is held
+    if rate is not None and rate <= least:
+        return weights, rate
+    margins = _shares(weights, aims)
+    values = {m: df.select("target", "share", "reached").toPandas() for m, df in margins.items()}
+    start = {m: float((v["target"] - v["reached"]).abs().sum() / 2) for m, v in values.items()}
+    arrays = {m: (v["target"].to_numpy(), v["share"].to_numpy()) for m, v in values.items()}
+    now = max(least, min(_largest_rate(*a) for a in arrays.values())) if rate is None else rate
+    bare = weights.drop("weight")
+    while now > least:
+        scale = {m: _reachable(*a, now) for m, a in arrays.items()}
+        goals = {m: margins[m].select(m, F.least(F.col("target") * scale[m], F.col("share") / now).alias("target")) for m in margins}
+        found = cut(rake(bare, goals, most=1 / (tokens * now)))
+        missed = {m: df.agg(F.sum(F.abs(F.col("target") - F.col("reached"))) / 2).first()[0] for m, df in _shares(found, goals).items()}
+        if rate is not None or all(missed[m] <= start[m] + MISS for m in missed):
+            return found, now
+        now = max(least, now * 0.95)
+    return weights, least
+
+
 def uniform(doc_id: Column, seed: int) -> Column:
     """The same number from 0 to below 1 for the same id."""
     return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) / float(1 << 53)
@@ -123,9 +183,12 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
     default each margin's own token shares to the power 0.7, which lifts rare sources, languages and
     topics; ``targets`` gives other tables (margin, target) by margin. A document is sampled with probability
     rate * raked share / own share of its cell, so the sample's expected tokens have the target
-    margins. ``rate`` is the sample's expected part of all tokens; None takes the largest for which no
-    probability exceeds 1; a larger one raises. The draw is a hash of doc_id and the seed: it depends on
-    no order, and a retry draws the same.
+    margins. A cell too small for its weight is sampled whole, and the others are raked to what is left of the
+    targets. ``rate`` is the sample's expected part of all tokens; a rate above 1 raises. None takes the largest
+    that the values of every margin have the tokens for, but for the rarest ones that together hold less than
+    ``RARE`` of its target: these are sampled whole, as far as the margins allow, and set no limit to the others. The rate
+    falls until single cells leave at most ``MISS`` of a margin unreached. The draw is a hash of doc_id and the
+    seed: it depends on no order, and a retry draws the same.
 
     A document without words has no weight; it is sampled with the probability 1. Nulls in source or
     language are values of their own. Rows that share a doc_id share the draw; a null doc_id counts as one
@@ -139,12 +202,13 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
     aims = {m: tempered(cells, m, power) for m in MARGINS if cells.agg(F.sum("tokens")).first()[0]}
     aims |= targets or {}
     weights = rake(cells, aims) if aims else cells.withColumn("weight", F.lit(0.0)).where("tokens > 0")
-    total = weights.agg(F.sum("tokens"), F.sum("weight"), F.max(F.col("weight") / F.col("tokens"))).first()
+    if rate is not None and rate > 1:
+        raise ValueError(f"a rate of {rate} asks for more than all documents")
+    weights = cut(weights)
+    total = weights.agg(F.sum("tokens"), F.sum("weight")).first()
     if total[0]:
-        most = total[1] / (total[0] * total[2])
-        rate = most if rate is None else rate
-        if rate > most * (1 + 1e-9):
-            raise ValueError(f"a rate of {rate} asks for more than all documents of a cell; {most} is the largest")
+        weights, rate = _limited(weights, aims, rate)
+        total = weights.agg(F.sum("tokens"), F.sum("weight")).first()
         chance = F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * (rate * total[0] / total[1]))
     else:
         chance = F.lit(1.0)
