@@ -6,14 +6,13 @@ import base64
 import hashlib
 import re
 from heapq import heappop, heappush
-from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from exportlens.llm.common import Cache
+from exportlens.llm.common import Cache, free_columns, free_name
 
 LATIN_END = "\u0250"  # end of the Latin blocks
 WORD = 8  # log2 of the bits in one bitmap word
@@ -70,7 +69,9 @@ class Codec:
         for token, rank in ranks.items():
             self.token[rank] = token
         self.name = [str(i) for i in range(size)]
-        self.known = Cache(lambda piece: self.piece(piece.encode()), limit=600_000)
+        # A pre-token's ids are kept as their text: small, and joined once instead of id by id.
+        self.known = Cache(lambda piece: " ".join([self.name[i] for i in self.piece(piece.encode())]), limit=800_000)
+        self.named = {name: self.token[i] for i, name in enumerate(self.name)}
 
     def piece(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one pre-token: always merge the pair of least rank, the leftmost of equals.
@@ -155,10 +156,18 @@ class Codec:
             return self.latin.findall(text)
         return self.general.findall(text)
 
+    def encode_names(self, text: str) -> str:
+        """Ids of a text, in decimal and joined by spaces."""
+        return " ".join(map(self.known.__getitem__, self.find(text)))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.find(text))))
+        return list(map(int, self.encode_names(text).split()))
+
+    def decode_names(self, names: str) -> bytes:
+        """Bytes of ids that are joined by spaces."""
+        return b"".join(map(self.named.__getitem__, names.split()))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
@@ -178,33 +187,33 @@ def encode_column(df: DataFrame, path: str, pattern: str, text: str = "text", pr
 
     Each whole text is split by ``pattern`` and every match encoded by the ranks of the file at
     ``path``; the ids are decoded again. The digests are of the decimal ids joined by one space and
-    of the decoded bytes. A null text counts as empty: no ids, digests of nothing. Rows neither
-    appear nor vanish; an existing column of an output's name raises. The vocabulary is read by the driver
-    and broadcast; its size doesn't depend on the data.
+    of the decoded bytes. A null text counts as empty: no ids, digests of nothing. A text of any length is
+    taken whole. Rows neither appear nor vanish, equal rows get equal results, and no rows give no rows. Other columns
+    stay, but one named as an output is replaced. The vocabulary is read by the driver and broadcast; its size
+    doesn't depend on the data.
     """
     own = [T.StructField(f"{prefix}n_tokens", T.LongType()), T.StructField(f"{prefix}ids_sha256", T.StringType()),
            T.StructField(f"{prefix}decoded_sha256", T.StringType())]
     own += [T.StructField(f"{prefix}ids", T.ArrayType(T.IntegerType()))] if keep_ids else []
-    if clash := {f.name for f in own} & set(df.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    stay = free_columns(df, [f.name for f in own])
     vocabulary = read_ranks(path)
     ranks = df.sparkSession.sparkContext.broadcast(vocabulary)
     key = hashlib.sha256(repr((sorted(vocabulary.items()), pattern)).encode()).hexdigest()
 
     def run(batches):
         codec = _codec(key, ranks, pattern)
-        name = codec.name.__getitem__
         for batch in batches:
             counts, digests, decoded, lists = [], [], [], []
-            for value in batch.column(text):
-                ids = codec.encode(value.as_py() or "")
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(" ".join(map(name, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            for value in batch.column(len(stay)).to_pylist():
+                names = codec.encode_names(value or "")
+                counts.append(names.count(" ") + 1 if names else 0)
+                digests.append(hashlib.sha256(names.encode()).hexdigest())
+                decoded.append(hashlib.sha256(codec.decode_names(names)).hexdigest())
                 if keep_ids:
-                    lists.append(ids)
+                    lists.append(list(map(int, names.split())))
             columns = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             columns += [pa.array(lists, pa.list_(pa.int32()))] if keep_ids else []
-            yield pa.RecordBatch.from_arrays(list(batch.columns) + columns, names=batch.schema.names + [f.name for f in own])
+            yield pa.RecordBatch.from_arrays(list(batch.columns)[: len(stay)] + columns, names=stay + [f.name for f in own])
 
-    return df.mapInArrow(run, T.StructType(df.schema.fields + own))
+    taken = df.select(*[df[c] for c in stay], df[text].alias(free_name(df, "_text")))
+    return taken.mapInArrow(run, T.StructType([df.schema[c] for c in stay] + own))

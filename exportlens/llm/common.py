@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as compressed Parquet below the shared checkpoint folder; the lineage ends there."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores behind as make it differ from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def free_columns(df: DataFrame, outputs: list[str]) -> list[str]:
+    """Columns of ``df`` that no output replaces; names are compared as the session does, without case."""
+    taken = {name.lower() for name in outputs}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 class Cache(dict):
     """Bounded memo with two generations: when the young one is full it becomes the old one."""
 

@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exportlens.llm import bpe, classifier, embeddings, licenses, lines, minhash, mixing, quality, secrets, warc
+from exportlens.llm import bpe, classifier, conversations, embeddings, licenses, lines, minhash, mixing, pieces, quality, search, secrets, warc
 from exportlens.llm.oracles import ORACLES  # noqa: F401
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 LEAST_SCORE = 0.3
 
 
@@ -67,6 +68,19 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
 
 
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode_column(docs, public_tokenizers.path(PIECE_MODEL), prefix="").drop("text")
+
+
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, folder, "conversations")), "copies")
+
+
 QUERIES = {
     "op1_byte_bpe": byte_bpe,
     "op2_minhash_near_dedup": near_duplicates,
@@ -78,4 +92,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup,
     "op9_source_mixing": source_mixing,
     "op10_quality_classifier": quality_classifier,
+    "op11_ranked_search": ranked_search,
+    "op12_piece_bpe": piece_bpe,
+    "op13_conversation_repair": conversation_repair,
 }
