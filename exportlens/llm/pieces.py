@@ -87,7 +87,6 @@ class Codec:
 
     def __init__(self, model: Model):
         self.space_first = model.space_first
-        self.names = [piece for piece, _, _ in model.pieces]
         self.kinds = [kind for _, _, kind in model.pieces]
         self.id = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == NORMAL}
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
@@ -106,10 +105,14 @@ class Codec:
         self.runs = re.compile(f"[{alone}]|{words}" if alone else words, re.DOTALL)
         self.automaton = ahocorasick.Automaton()
         for piece in self.id:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (piece, len(piece) - 1))
         self.automaton.make_automaton()
-        self.fits = Cache(lambda pair: tuple(self.merged(pair[0] + pair[1])) == pair, limit=400_000)
-        self.known = Cache(self.entry, limit=400_000)
+        self.fits = Cache(self.fit, limit=400_000)
+        self.known = Cache(self.entry, limit=800_000)
+        # Text of each id that stands for itself, without regard to its neighbours; others have none.
+        self.plain = [piece.replace(SPACE, " ") if kind == NORMAL else None for piece, _, kind in model.pieces]
+        self.decimal = [str(i) for i in range(len(model.pieces))]
 
     def merged(self, text: str) -> list[str]:
         """The merges of a short text, done one by one."""
@@ -124,17 +127,20 @@ class Codec:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def fit(self, pair: tuple[str | None, str]) -> bool:
+        """Whether two neighbours come out of the merges of their characters; a first piece need only do so itself."""
+        if pair[0] is None:
+            return self.merged(pair[1]) == [pair[1]]
+        return tuple(self.merged(pair[0] + pair[1])) == pair
+
     def matches(self, text: str, begin: int) -> list[list[str]]:
         """For each start place of a window from ``begin``, the pieces that match there, the longest last."""
-        found: list[list[str]] = [[] for _ in range(min(WINDOW, len(text) - begin))]
-        size = len(found)
-        for last, piece in self.automaton.iter(text, begin, min(len(text), begin + size + self.longest)):
-            first = last + 1 - len(piece) - begin
+        size = min(WINDOW, len(text) - begin)
+        found = [[c] for c in text[begin : begin + size]]  # a character may have no piece of its own
+        for last, (piece, less) in self.automaton.iter(text, begin, min(len(text), begin + size + self.longest)):
+            first = last - less - begin
             if first < size:
                 found[first].append(piece)
-        for k, options in enumerate(found):
-            if not options or len(options[0]) > 1:
-                options.insert(0, text[begin + k])  # a character without piece of its own
         return found
 
     def split(self, text: str) -> list[str]:
@@ -155,10 +161,11 @@ class Codec:
                 window = self.matches(text, begin)
             options = window[at - begin]
             k = len(options) - 1 if k is None else k
+            before = path[-1] if path else None
             while k >= 0:
                 piece = options[k]
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (fits[path[-1], piece] if path else end < size or self.merged(piece) == [piece]):
+                if not failed[end >> 3] >> (end & 7) & 1 and fits[before, piece]:
                     break
                 k -= 1
             if k >= 0:
@@ -171,32 +178,34 @@ class Codec:
                 k = tried.pop() - 1
         return path
 
-    def entry(self, run: str) -> tuple[tuple[int, ...], str, str]:
-        """Ids of a run, the ids as text, and the text that the ids stand for."""
-        cuts = [i for i in range(1, len(run)) if run[i - 1 : i + 1] not in self.inside]
+    def entry(self, run: str) -> tuple[str, str]:
+        """Ids of a run, in decimal and joined by commas, and the text that the ids stand for."""
+        inside = self.inside
+        cuts = [i for i in range(1, len(run)) if run[i - 1 : i + 1] not in inside]
         if cuts:  # no piece spans these places
             parts = [self.known[run[a:b]] for a, b in zip([0, *cuts], [*cuts, len(run)])]
-            return tuple(i for p in parts for i in p[0]), ",".join([p[1] for p in parts]), "".join([p[2] for p in parts])
-        ids: list[int] = []
-        for piece in self.split(run):
-            if piece in self.id:
-                ids.append(self.id[piece])
-            else:
-                ids += [self.byte[b] for b in piece.encode()]
-        return tuple(ids), ",".join(map(str, ids)), self.text_of(ids)
-
-    def entries(self, text: str) -> list[tuple[tuple[int, ...], str, str]]:
+            return ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])
+        path = self.split(run)
+        ids = [self.id.get(piece) for piece in path]
+        if None in ids:
+            ids = [i for piece, k in zip(path, ids) for i in ([self.byte[b] for b in piece.encode()] if k is None else [k])]
+        return ",".join([self.decimal[i] for i in ids]), self.text_of(ids)
+
+    def entries(self, text: str) -> list[tuple[str, str]]:
+        """(ids, text) of the runs of a text, in order."""
         if not text:
             return []
         text = text.replace(" ", SPACE)
-        known = self.known
-        return [known[run] for run in self.runs.findall(SPACE + text if self.space_first else text)]
+        return list(map(self.known.__getitem__, self.runs.findall(SPACE + text if self.space_first else text)))
 
     def encode(self, text: str) -> list[int]:
-        return [i for entry in self.entries(text) for i in entry[0]]
+        return [int(i) for names, _ in self.entries(text) for i in names.split(",")]
 
     def text_of(self, ids) -> str:
         """Text of ids, the space in front included; control ids have none, a byte that is no UTF-8 becomes U+FFFD."""
+        texts = [self.plain[i] for i in ids]
+        if None not in texts:
+            return "".join(texts)
         out, waiting = [], bytearray()
 
         def flush():
@@ -213,8 +222,7 @@ class Codec:
                 waiting.append(self.byte_of[i])
                 continue
             flush()
-            kind = self.kinds[i]
-            out.append(self.names[i].replace(SPACE, " ") if kind == NORMAL else " ⁇ " if kind == UNKNOWN else "")
+            out.append(" ⁇ " if self.kinds[i] == UNKNOWN else self.plain[i] or "")
         flush()
         return "".join(out)
 
@@ -258,12 +266,13 @@ def encode_column(df: DataFrame, path: str, text: str = "text", prefix: str = "s
             counts, digests, decoded, lists = [], [], [], []
             for value in batch.column(len(stay)).to_pylist():
                 entries = codec.entries(value or "")
-                counts.append(sum([len(e[0]) for e in entries]))
-                digests.append(digest(",".join([e[1] for e in entries])))
-                back = "".join([e[2] for e in entries])
+                names = ",".join([e[0] for e in entries])
+                counts.append(names.count(",") + 1 if names else 0)
+                digests.append(digest(names))
+                back = "".join([e[1] for e in entries])
                 decoded.append(digest(back.removeprefix(" ") if codec.space_first else back))
                 if keep_ids:
-                    lists.append([i for e in entries for i in e[0]])
+                    lists.append(list(map(int, names.split(","))) if names else [])
             columns = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             columns += [pa.array(lists, pa.list_(pa.int32()))] if keep_ids else []
             yield pa.RecordBatch.from_arrays(list(batch.columns)[: len(stay)] + columns, names=stay + [f.name for f in own])
