@@ -28,6 +28,10 @@ def _calendar(day: str) -> str:
   monthname({day}) AS month_name, weekofyear({day}) AS week_num"""
 
 
+def _lifted(score: str) -> str:
+    return f"least({score} + CASE WHEN n_nationkey % 8 = 3 THEN 25 ELSE 0 END, 99)"
+
+
 # name -> (dependencies, SQL)
 CTES: dict[str, tuple[list[str], str]] = {}
 
@@ -38,22 +42,22 @@ SELECT *, (dem1+entry1+reg1+craft1+ecom1)*2 AS comp2,
        WHEN (dem1+entry1+reg1+craft1+ecom1)*2 <= 750 THEN 'Tier 3'
        WHEN (dem1+entry1+reg1+craft1+ecom1)*2 <= 850 THEN 'Tier 2'
        WHEN (dem1+entry1+reg1+craft1+ecom1)*2 <= 1000 THEN 'Tier 1' END AS market_tier
-FROM (SELECT n_nationkey AS market_id, n_name AS country, {_MAPPED_REGION} AS region,
+FROM (SELECT *, {_lifted("50 + n_nationkey*7 % 50")} AS dem1, {_lifted("55 + n_nationkey*13 % 45")} AS entry1, {_lifted("50 + n_nationkey*19 % 42")} AS reg1,
+  {_lifted("30 + n_nationkey*11 % 60")} AS craft1, {_lifted("70 + n_nationkey*17 % 28")} AS ecom1
+FROM (SELECT n_nationkey, n_nationkey AS market_id, n_name AS country, {_MAPPED_REGION} AS region,
   {pick(["USD", "EUR", "GBP", "AED", "SGD", "ZAR", "JPY"], "n_nationkey")} AS currency,
   600000 + (n_nationkey % 11) * 40375 AS fx4,
-  50 + n_nationkey*7 % 50 AS dem1, 55 + n_nationkey*13 % 45 AS entry1, 50 + n_nationkey*19 % 42 AS reg1,
-  30 + n_nationkey*11 % 60 AS craft1, 70 + n_nationkey*17 % 28 AS ecom1,
   n_nationkey*5 % 21 AS duty, 'Marketplace ' || (n_nationkey % 6) AS marketplace,
   5000 + n_nationkey*3701 % 80000 AS gdp, 280 + n_nationkey*613 % 5000 AS size_mn,
   10 + n_nationkey*7 % 15 AS transit, 20 + n_nationkey*23 % 60 AS risk1
-  FROM nation JOIN region ON n_regionkey = r_regionkey)""")
+  FROM nation JOIN region ON n_regionkey = r_regionkey))""")
 
 CTES["p"] = ([], f"""
 SELECT *, {half_even("cogs2*32", "1000")} AS mrp0,
   {half_even_signed("(fob4*835 - cogs2*1000)*1000", "fob4*835")} AS india1
 FROM (SELECT p_partkey AS product_id, printf('SKU-%03d', p_partkey) AS sku_code,
   p_name || ' #' || p_partkey AS product_name, p_type AS category, p_brand AS subcategory,
-  p_size*100 AS w3, round(p_retailprice*100)::BIGINT*40 AS cogs2, round(p_retailprice*100)::BIGINT*200 AS fob4,
+  p_size::BIGINT*12500 AS w3, round(p_retailprice*100)::BIGINT*(CASE WHEN p_brand LIKE '%3' THEN 70 ELSE 40 END) AS cogs2, round(p_retailprice*100)::BIGINT*200 AS fob4,
   CASE WHEN p_partkey % 7 <> 0 THEN 'Y' ELSE 'N' END AS is_handmade,
   CASE WHEN p_partkey % 5 <> 0 THEN 'Y' ELSE 'N' END AS is_sustainable,
   {_numbered("Cluster", "p_partkey", 10)} AS artisan_cluster
@@ -64,7 +68,7 @@ SELECT c_custkey AS customer_id, c_name AS company_name, c_mktsegment AS custome
   country || ' City ' || (c_custkey % 4) AS city,
   {_numbered("Class", "c_custkey", 4)} AS customer_tier,
   ((c_custkey % 6 + 1) * 14)::INT AS terms, 'Manager ' || (c_custkey % 6) AS account_manager
-FROM customer JOIN m ON c_nationkey = market_id""")
+FROM customer JOIN m ON c_nationkey = market_id WHERE c_custkey % 97 <> 5""")
 
 CTES["fx0"] = ([], """
 SELECT CASE event_type WHEN 'view' THEN 'USD' WHEN 'click' THEN 'EUR' WHEN 'purchase' THEN 'GBP'
@@ -85,7 +89,7 @@ SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_pa
 CTES["ol"] = (["lines", "m", "p"], f"""
 SELECT (l_orderkey*8 + l_linenumber)*1048576 + copy_no AS order_id, l_orderkey*8 + l_linenumber + copy_no*104729 AS mixed, o_orderdate::DATE AS order_date, l_partkey AS product_id,
   c_nationkey AS market_id, o_custkey AS customer_id, l_quantity::INT AS qty,
-  {half_even("round(l_extendedprice*100)::BIGINT*100", "l_quantity::INT")} AS price4,
+  {half_even("round(l_extendedprice*100)::BIGINT*100*(CASE WHEN month(o_orderdate) >= 11 THEN 5 ELSE 4 END)", "l_quantity::INT*4")} AS price4,
   round(l_discount*100)::INT AS disc, fx4, cogs2, ((o_custkey % 6 + 1) * 14)::INT AS terms,
   ((l_orderkey*31 + l_linenumber*7) % (8 + c_nationkey*3) - 5)::INT AS delay,
   {_numbered("Channel", "l_suppkey", 7)} AS order_channel,
@@ -174,7 +178,7 @@ SELECT ts::DATE AS date, event_id % (SELECT count(*) FROM part) AS product_id, u
 FROM events GROUP BY ALL""")
 CTES["d"] = (["d0"], f"""
 SELECT *, {half_even("least(greatest(peak2, 1000), 10000)", "10")}::BIGINT AS trends1,
-  {half_even_signed("peak2*2 - 20000", "10")}::BIGINT AS yoy2, search*3 // 2 AS social, search // 3 AS demand_units,
+  {half_even_signed("peak2*2 - 20000 + CASE market_id % 8 WHEN 7 THEN 35000 WHEN 6 THEN 25000 ELSE 0 END", "10")}::BIGINT AS yoy2, search*3 // 2 AS social, search // 3 AS demand_units,
   greatest(80000 // greatest(search // 3, 1), 1)::BIGINT AS bsr,
   ([1200, 950, 900, 880, 920, 950, 980, 1000, 1050, 1100, 1250, 1350])[month(date)] AS season3,
   {_calendar("date")}

@@ -77,7 +77,7 @@ add("clamp_to_base", ["fx0"], f"""SELECT currency_code, {day("date")} AS date,
   {half_even("least(greatest(rate4*100, base4*88), base4*112)", "100")}::DOUBLE/1e4 AS rate_to_inr
 FROM fx0 JOIN (SELECT currency_code, {_base} AS base4 FROM fx0 GROUP BY 1) USING (currency_code)""")
 add("with_lookup", ["c"], """SELECT o_orderkey AS order_key, o_custkey AS customer_id, coalesce(terms, 30)::BIGINT AS payment_terms_days,
-  customer_tier FROM orders LEFT JOIN (SELECT * FROM c WHERE customer_tier <> 'Bronze') ON customer_id = o_custkey""")
+  customer_tier FROM orders LEFT JOIN (SELECT * FROM c WHERE customer_tier <> 'Class 4') ON customer_id = o_custkey""")
 add("composite_score_tier", ["m"], """SELECT market_id::BIGINT AS market_id, comp2/1e2 AS composite_score, market_tier FROM m""")
 add("product_margins", ["p"], """SELECT product_id, sku_code, india1::DOUBLE/1e1 AS gross_margin_pct_india, mrp0::DOUBLE AS india_mrp_inr FROM p""")
 add("date_spine", [], f"""SELECT {day("d")} AS date FROM (SELECT unnest(generate_series(min(o_orderdate::DATE)::TIMESTAMP,
@@ -97,6 +97,29 @@ _COUNTED = {"dim_products": "p", "dim_markets": "m", "dim_customers": "c", "dim_
             "fact_shipment_details": "s", "fact_competitor_pricing": "pr", "fact_market_demand": "d", "fact_returns": "r"}
 add("row_counts", list(_COUNTED.values()),
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {c}" for t, c in _COUNTED.items()))
+STATEMENTS["footer_counts"] = STATEMENTS["row_counts"]
+add("footer_extremes", ["o"], " UNION ALL ".join(f"""SELECT '{name}' AS column_name, count(*) AS row_count, count({c}) AS present,
+  min({c})::BIGINT AS min, max({c})::BIGINT AS max FROM o""" for name, c in {"order_id": "order_id", "customer_id": "customer_id", "quantity_units": "qty"}.items()))
+add("batch_append", ["r"], """SELECT year(return_date)::BIGINT AS return_year, count(*) AS row_count, sum(loss2)::DOUBLE/1e2 AS net_loss_usd FROM r GROUP BY 1""")
+add("csv_round_trip", ["c"], f"""SELECT c.market_id::VARCHAR AS market_id, count(*) AS row_count, sum(round(c_acctbal*100)::BIGINT)::DOUBLE/1e2 AS credit_limit_usd,
+  {day("max(DATE '1995-01-01' - (30 + customer_id % 1170)::INT)")} AS last_registration
+FROM c JOIN customer ON c_custkey = c.customer_id GROUP BY c.market_id""")
+_REASONS = {3: "return_id: missing", 7: "return_date: not a date", 11: "return_quantity: not a integer", 13: "refund_amount_usd: does not fit",
+            17: "return_shipping_cost_usd: does not fit", 19: "is_first_return: too long"}
+add("csv_rejects", ["r"], f"""SELECT reason, count(*) AS row_count, CASE WHEN reason = 'kept' THEN sum(loss2)::DOUBLE/1e2 END AS net_loss_usd
+FROM (SELECT loss2, CASE (return_id // 1048576) % 50 {" ".join(f"WHEN {n} THEN '{text}'" for n, text in _REASONS.items())} ELSE 'kept' END AS reason FROM r)
+GROUP BY reason""")
+_REPORTS = {"product_export_scorecard": ("v3", "total_revenue_usd DESC NULLS LAST, product_id"),
+            "customer_ltv": ("v5", "total_revenue_usd DESC NULLS LAST, customer_id"),
+            "landed_cost_analysis": ("v4", "avg_lc_fob_ratio DESC NULLS FIRST, country, region, category, product_name"),
+            "payment_risk": ("v12", "overdue_value_usd DESC NULLS FIRST, country, region")}
+for _name, (_cte, _order) in _REPORTS.items():
+    _days = f"""REPLACE ({day("last_order_date")} AS last_order_date, {day("first_order_date")} AS first_order_date)""" if _name == "customer_ltv" else ""
+    add(f"report_{_name}", [_cte], f"SELECT * {_days}, row_number() OVER (ORDER BY {_order}) AS position FROM {_cte}")
+add("buyers_by_period", ["o"], " UNION ALL ".join(f"""SELECT '{period}' AS period, {", ".join(
+    f"{c}{kind} AS {c}" if k < depth else f"NULL{kind} AS {c}" for k, (c, kind) in enumerate({"fiscal_year": "::BIGINT", "quarter": "::VARCHAR", "month_num": "::BIGINT"}.items()))},
+  count(DISTINCT customer_id) AS active_buyers FROM o {"GROUP BY " + ", ".join(["fiscal_year", "quarter", "month_num"][:depth]) if depth else ""}"""
+    for depth, period in ((3, "month"), (2, "quarter"), (1, "year"), (0, "all"))))
 add("dq_unique", [], """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 add("dq_foreign_key", ["m", "fx"], """SELECT currency, count(*) AS row_count FROM m
@@ -168,6 +191,9 @@ QUALIFY row_number() OVER (PARTITION BY market_id ORDER BY n DESC, return_reason
 add("growth_by_currency", ["fx0"], f"""SELECT currency_code, {day("date")} AS date, rate4/1e4 AS rate_to_inr,
   {half_up("(rate4-prev)*1000000", "prev")}::DOUBLE/1e4 AS growth_pct
 FROM (SELECT *, lag(rate4) OVER (PARTITION BY currency_code ORDER BY date) AS prev FROM fx0)""")
+add("running_total_by_currency", ["fx0"], f"""SELECT currency_code, {day("date")} AS date,
+  (sum(rate4) OVER (PARTITION BY currency_code ORDER BY date))::DOUBLE/1e4 AS running_total FROM fx0""")
+add("running_events", [], """SELECT event_id, (sum(round(value*100)::BIGINT) OVER (ORDER BY event_id))::DOUBLE/1e2 AS running_total FROM events""")
 add("top_orders_per_market", ["o"], """SELECT market_id::BIGINT AS market_id, rank, order_id, usd2/1e2 AS total_fob_value_usd
 FROM (SELECT *, row_number() OVER (PARTITION BY market_id ORDER BY usd2 DESC, order_id) AS rank FROM o) WHERE rank <= 3""")
 add("sample_orders", ["o"], """SELECT order_id, order_status FROM o WHERE order_status = 'Delivered'
@@ -202,8 +228,9 @@ FROM (SELECT *, gdp2::DOUBLE/1e2 AS gdp_score, final2/1e2 AS final_score, potent
 add("score_markets", ["p1"], "SELECT * EXCLUDE (gdp2, final2, potential2) FROM p1")
 add("market_ranking", ["p1"], """SELECT row_number() OVER (ORDER BY priority_score DESC, market_id) AS rank, market_id::BIGINT AS market_id,
   country, region, final_score, priority_score, entry_tier, market_size_usd_mn FROM p1""")
-add("tier_markets", ["p1"], """SELECT market_id::BIGINT AS market_id, country, entry_tier, final_score, home_decor_demand_score,
-  indian_craft_affinity_score, avg_customs_duty_pct, market_size_usd_mn FROM p1 WHERE entry_tier = 'Tier 3 - Monitor'""")
+for _name, _tier in {"tier_markets": "Tier 3 - Monitor", "tier_1_markets": "Tier 1 - Enter Now", "tier_2_markets": "Tier 2 - Plan Entry"}.items():
+    add(_name, ["p1"], f"""SELECT market_id::BIGINT AS market_id, country, entry_tier, final_score, home_decor_demand_score,
+  indian_craft_affinity_score, avg_customs_duty_pct, market_size_usd_mn FROM p1 WHERE entry_tier = '{_tier}'""")
 add("best_markets", ["v2"], """SELECT (SELECT country FROM v2 ORDER BY market_size_usd_mn DESC, market_id LIMIT 1) AS best_revenue_potential,
   (SELECT country FROM v2 ORDER BY indian_craft_affinity_score DESC, market_id LIMIT 1) AS best_craft_affinity,
   (SELECT country FROM v2 ORDER BY avg_customs_duty_pct, market_id LIMIT 1) AS lowest_customs_duty""")
@@ -244,8 +271,9 @@ _CAT = {"avg_fob": "avg_fob_per_unit_usd", "avg_total_lc": "avg_total_lc_per_uni
         "lastmile_pct": "lastmile_pct_of_lc"}
 add("landed_cost_by_category", ["v4"], f"""SELECT category, {", ".join(f"{mean_even(c, 4, 2)} AS {n}" for n, c in _CAT.items())}
 FROM v4 GROUP BY category""")
-add("demurrage_hotspots", ["p8"], """SELECT row_number() OVER (ORDER BY total_demurrage DESC, country, region) AS rank, country, region,
-  total_demurrage, total_shipments, avg_demurrage FROM p8 QUALIFY rank <= 5""")
+for _name, _n in {"demurrage_hotspots": 5, "demurrage_top_10": 10}.items():
+    add(_name, ["p8"], f"""SELECT row_number() OVER (ORDER BY total_demurrage DESC, country, region) AS rank, country, region,
+  total_demurrage, total_shipments, avg_demurrage FROM p8 QUALIFY rank <= {_n}""")
 add("high_cost_routes", ["v4"], """SELECT row_number() OVER (ORDER BY avg_lc_fob_ratio DESC, country, product_name) AS rank, country, category,
   substring(product_name, 1, 28) AS product_name, avg_fob_per_unit_usd, avg_total_lc_per_unit_usd, avg_lc_fob_ratio,
   avg_exporter_margin_pct FROM v4 QUALIFY rank <= 10""")
@@ -271,8 +299,9 @@ FROM (SELECT *, sum(v) OVER (ORDER BY step) AS after
 add("top_products", ["v3"], """SELECT row_number() OVER (ORDER BY total_revenue_usd DESC NULLS LAST, product_id) AS rank, product_id,
   substring(product_name, 1, 37) AS product_name, category, total_revenue_usd, avg_margin_pct, markets_present,
   export_viability_tag FROM v3 QUALIFY rank <= 15""")
-add("viability_list", ["v3"], """SELECT product_id, product_name, total_revenue_usd, avg_margin_pct, markets_present FROM v3
-WHERE export_viability_tag LIKE '%Star%'""")
+for _name, _word in {"viability_list": "Star", "viability_list_growth": "Growth", "viability_list_review": "Review"}.items():
+    add(_name, ["v3"], f"""SELECT product_id, product_name, total_revenue_usd, avg_margin_pct, markets_present FROM v3
+WHERE export_viability_tag LIKE '%{_word}%'""")
 add("viability_counts", ["v3"], """SELECT count(*) FILTER (export_viability_tag LIKE '%Star%') AS star_products,
   count(*) FILTER (export_viability_tag LIKE '%Growth%') AS growth_products,
   count(*) FILTER (export_viability_tag LIKE '%Review%') AS review_products FROM v3""")

@@ -91,19 +91,19 @@ LEFT JOIN (SELECT product_id, {avg("our2", 2, 2)} AS avg_sell_price_usd, {avg("a
     {avg("index1", 1, 1)} AS avg_price_index, {avg("margin2", 2, 2)} AS avg_sell_margin_pct
   FROM pr GROUP BY 1) USING (product_id)""")
 
-# Row ratios at the scale the decimal division keeps: 13 digits per unit, 17 for money over money.
+# Row ratios with 18 and 21 digits, more than any engine's division keeps, so that the means don't repeat its rounding.
 _UNIT = {"freight": "freight2", "insurance": "ins2", "customs": "cus2", "port": "port2", "lastmile": "lm2",
          "demurrage": "dem2", "total_lc": "lc2", "exporter_margin": "net2"}
 _SHARE = {"avg_exporter_margin_pct": ("net2", "usd2", 2), "freight_pct_of_lc": ("freight2", "lc2", 1),
           "customs_pct_of_lc": ("cus2", "lc2", 1), "lastmile_pct_of_lc": ("lm2", "lc2", 1)}
-_unit_rows = ", ".join(f"{half_up(f'{c}::HUGEINT*100000000000', 'qty')} AS u_{k}" for k, c in _UNIT.items())
+_unit_rows = ", ".join(f"{half_up(f'{c}::HUGEINT*{10**16}', 'qty')} AS u_{k}" for k, c in _UNIT.items())
 _share_rows = ", ".join(
-    f"{half_up(f'{a}::HUGEINT*100000000000000000', b)}*100 AS q_{k}" for k, (a, b, _) in _SHARE.items()
+    f"{half_up(f'{a}::HUGEINT*{10**21}', b)}*100 AS q_{k}" for k, (a, b, _) in _SHARE.items()
 )
 CTES["v4"] = (["s", "m", "p"], f"""
 SELECT country, region, category, product_name, count(*) AS total_shipments, {avg("net4", 4, 4)} AS avg_fob_per_unit_usd,
-  {", ".join(f"{avg('u_' + k, 13, 4)} AS avg_{k}_per_unit_usd" for k in _UNIT)},
-  {", ".join(f"{avg('q_' + k, 17, d)} AS {k}" for k, (_, _, d) in _SHARE.items())},
+  {", ".join(f"{avg('u_' + k, 18, 4)} AS avg_{k}_per_unit_usd" for k in _UNIT)},
+  {", ".join(f"{avg('q_' + k, 21, d)} AS {k}" for k, (_, _, d) in _SHARE.items())},
   {avg("ratio4", 4, 4)} AS avg_lc_fob_ratio, {money("dem2")} AS total_demurrage_usd,
   CASE WHEN sum(ratio4) > 13000*count(ratio4) THEN 'High Cost Route'
        WHEN sum(ratio4) > 11500*count(ratio4) THEN 'Moderate Cost' ELSE 'Efficient Route' END AS route_efficiency

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exportlens.functions import dec
+from exportlens.operators.distinct import distinct_counts, join_counts
 
 
 def merge_states(df: DataFrame, keys: Sequence[str], states: Sequence[str]) -> DataFrame:
@@ -27,17 +28,12 @@ def with_distinct_counts(
     """GROUP BY with plain aggregates and several COUNT(DISTINCT)s, ``distinct`` = name -> column.
 
     In one aggregation Spark repeats every row per distinct column and shuffles each distinct
-    (keys, value) pair together with a buffer for all the other aggregates. Here the pairs are
-    counted in an aggregation of their own, whose rows hold nothing but the pair, and the plain
-    aggregates combine to one row per group and task. The two results, one row per group each, are
+    (keys, value) pair together with a buffer for all the other aggregates. Here every column is
+    counted from bitmaps of its ids (``operators.distinct``), by a scan of its own few columns, and the plain
+    aggregates combine to one row per group and task. The results, one row per group each, are
     joined on the keys; NULL keys match each other as in GROUP BY.
     """
-    plain = df.groupBy(*keys).agg(*aggs)
-    pairs = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        *[F.countDistinct(c).alias(name) for name, c in distinct.items()]
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return plain.join(pairs, same).drop(*[f"_{k}" for k in keys])
+    return join_counts(df.groupBy(*keys).agg(*aggs), distinct_counts(df, keys, distinct), keys)
 
 
 def sums(**columns: Column | str) -> list[Column]:

@@ -12,10 +12,11 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exportlens.functions import band, bin_right, clamp, dec, padded_id, round_half_even, round_ratio
+from exportlens.operators.series import with_previous
 
 # Business constants.
 FX_BASE = Decimal("83.5")
@@ -344,9 +345,11 @@ def return_economics(returns: DataFrame, orders: DataFrame | None = None) -> Dat
 
 
 def fx_daily_change(rates: DataFrame) -> DataFrame:
-    """Percent change against the currency's previous day; 0 on its first day."""
-    previous = F.lag("rate_to_inr").over(Window.partitionBy("currency_code").orderBy("date"))
-    df = rates.withColumn("_prev", previous)
+    """Percent change against the currency's previous day; 0 on its first day.
+
+    A currency's series is spread over tasks (``operators.series``), whatever its length.
+    """
+    df = with_previous(rates, ["currency_code"], ["date"], "rate_to_inr", "_prev")
     change = round_ratio((F.col("rate_to_inr") - F.col("_prev")) * 100, F.col("_prev"), 4, scale=4, even=True)
     change = F.when(F.col("_prev").isNull(), F.lit(Decimal("0.0000"))).otherwise(change)
     return df.withColumn("daily_change_pct", dec(change, 8, 4)).drop("_prev")

@@ -1,7 +1,7 @@
 """Ranks, top-k, previous-row growth and running totals.
 
 A window without PARTITION BY pulls its whole input into one task. The operators here use one only
-on inputs whose size is fixed (counts of rank ranges, the n rows of a top-n, years, cost components);
+on inputs whose size is fixed (counts of rank ranges, the n rows of a top-n, rollups by market, years, cost components);
 a rank over an unbounded set goes through sorted ranges.
 """
 
@@ -65,11 +65,25 @@ def with_rank(
         placed = df.withColumn("_bucket", _bucket(F.col(by), lo, hi, descending))
         numbered = placed.withColumn("_place", F.row_number().over(inside))
     else:
-        ranges = sorted_ranges(df, order, *tie)
-        placed = numbered = written(ranges.withColumn("_at", F.monotonically_increasing_id())).withColumns({
-            "_bucket": F.shiftright("_at", _ROW_BITS),
-            "_place": F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1) + 1,
-        }).drop("_at")
+        return with_position(df, [order, *tie], rank)
+    return _with_offsets(numbered, placed, rank)
+
+
+def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
+    """1-based place of every row in the total order ``order``, which should end with a unique key.
+
+    The rows are dealt by sampled ranges of the order and sorted inside them, and the numbered ranges are written once, so
+    that their counts and their rows are of the same ranges.
+    """
+    ranges = sorted_ranges(df, *order)
+    numbered = written(ranges.withColumn("_at", F.monotonically_increasing_id())).withColumns({
+        "_bucket": F.shiftright("_at", _ROW_BITS),
+        "_place": F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1) + 1,
+    }).drop("_at")
+    return _with_offsets(numbered, numbered, name)
+
+
+def _with_offsets(numbered: DataFrame, placed: DataFrame, rank: str) -> DataFrame:
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_bucket")
@@ -84,6 +98,15 @@ def with_rank(
     )
 
 
+def rank_rollup(df: DataFrame, by: str, tie: Sequence[str], *, descending: bool = True, rank: str = "rank") -> DataFrame:
+    """:func:`with_rank` for a rollup by the rows of a small dimension, such as markets or categories.
+
+    Such a frame fits a task whatever the facts' size, so it is numbered in one sorted partition and not written.
+    """
+    order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    return df.withColumn(rank, F.row_number().over(Window.orderBy(order, *tie)))
+
+
 def top_n(df: DataFrame, by: Sequence[Column], n: int, *, rank: str | None = None) -> DataFrame:
     """First ``n`` rows in the order ``by`` (state null placement, end with a unique key).
 
@@ -119,14 +142,15 @@ def growth_pct(
     digits: int = 1,
     scale: int = 2,
     name: str = "growth_pct",
+    previous: str | None = None,
 ) -> DataFrame:
     """Percent change against the previous row; the first row of a series has none.
 
-    Without ``part`` the frame must be a short rolled-up series, such as one row per year.
+    Without ``part`` the frame must be a short rolled-up series, such as one row per year. For series of
+    any length see ``operators.series``; ``previous`` names a column that holds the previous value already.
     """
-    window = Window.partitionBy(*part).orderBy(order)
-    previous = F.lag(col).over(window)
-    return df.withColumn("_prev", previous).withColumn(
+    before = F.col(previous) if previous else F.lag(col).over(Window.partitionBy(*part).orderBy(order))
+    return df.withColumn("_prev", before).withColumn(
         name, pct(F.col(col) - F.col("_prev"), F.col("_prev"), digits, scale=scale)
     ).drop("_prev")
 

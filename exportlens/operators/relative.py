@@ -1,7 +1,8 @@
 """Measures relative to the whole set: shares, scaling, ratios, histogram.
 
-The set-level number is an uncorrelated scalar subquery. Spark runs it once, prunes it to the one
-column it needs and hands the value to the tasks; no join is planned.
+All set-level numbers of an operator are one struct, taken in one pass as one uncorrelated scalar subquery. Spark
+runs it once and hands the value to the tasks; no join is planned. The pass and the rows are two reads of the frame,
+so a frame that is costly to evaluate is written first (``sources.warehouse.written``).
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from exportlens.functions import as_double, dec, pct, round_ratio
 
 
 def with_totals(df: DataFrame, totals: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Attach aggregates of another frame to every row, each as one column."""
-    return df.withColumns({name: totals.agg(expr.alias(name)).scalar() for name, expr in exprs.items()})
+    """Attach aggregates of another frame to every row, each as one column; the other frame is read once for all."""
+    whole = totals.agg(F.struct(*[expr.alias(name) for name, expr in exprs.items()]).alias("_t")).scalar()
+    return df.withColumn("_t", whole).withColumns({name: F.col("_t")[name] for name in exprs}).drop("_t")
 
 
 def with_total(df: DataFrame, totals: DataFrame, expr: Column, name: str = "total") -> DataFrame:
@@ -30,6 +32,17 @@ def share_of_total(df: DataFrame, col: str, digits: int, *, scale: int = 2, name
     return out.withColumn(name, pct(col, "_total", digits, scale=scale)).drop("_total")
 
 
+def scaled_to(x: Column, lo: Column, hi: Column, a: int, b: int, *, digits: int, scale: int) -> Column:
+    """``x`` moved linearly from [lo, hi] to [a, b], half-even; NULL where the range has no width."""
+    spread = hi - lo
+    return round_ratio((x - lo) * F.lit(Decimal(b - a)) + spread * F.lit(Decimal(a)), spread, digits, scale=scale, even=True)
+
+
+def ratio_of(x: Column, most: Column, k: int, *, digits: int, scale: int, plus: int = 0) -> Column:
+    """``x / most * k + plus``, half-even."""
+    return round_ratio(x * F.lit(Decimal(k)) + most * F.lit(Decimal(plus)), most, digits, scale=scale, even=True)
+
+
 def min_max_scale(
     df: DataFrame, cols: dict[str, str], lo: int = 0, hi: int = 1, *, digits: int = 4, scale: int = 2
 ) -> DataFrame:
@@ -41,9 +54,7 @@ def min_max_scale(
     for i, (col, name) in enumerate(cols.items()):
         x = dec(col, 20, scale)
         edges |= {f"_lo{i}": F.min(x), f"_hi{i}": F.max(x)}
-        least, spread = F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}")
-        num = (x - least) * F.lit(Decimal(hi - lo)) + spread * F.lit(Decimal(lo))
-        out[name] = round_ratio(num, spread, digits, scale=scale, even=True)
+        out[name] = scaled_to(x, F.col(f"_lo{i}"), F.col(f"_hi{i}"), lo, hi, digits=digits, scale=scale)
     return with_totals(df, df, edges).withColumns(out).drop(*edges)
 
 
@@ -52,8 +63,7 @@ def ratio_to_max(
 ) -> DataFrame:
     """``col / max(col) * k + plus``, half-even rounding."""
     x = dec(col, 20, scale)
-    num = x * F.lit(Decimal(k)) + F.col("_most") * F.lit(Decimal(plus))
-    ratio = round_ratio(num, F.col("_most"), digits, scale=scale, even=True)
+    ratio = ratio_of(x, F.col("_most"), k, digits=digits, scale=scale, plus=plus)
     return with_total(df, df, F.max(x), "_most").withColumn(name, ratio).drop("_most")
 
 
@@ -68,17 +78,21 @@ def histogram(df: DataFrame, col: str, bins: int = 30, *, scale: int = 1) -> Dat
     """Equal-width bins over min..max, the last bin closed, empty bins included.
 
     Bin numbers come from exact arithmetic. A constant column falls into the middle bin of a range
-    one wide around it.
+    one wide around it. The frame is evaluated once, to the count of each exact value, which is one row per value and
+    task before the shuffle. Edges and bins both come from these counts: their plans are alike up to the shuffle, so it is run
+    once and read twice, and nothing is written.
     """
-    values = df.select(dec(col, 20, scale).alias("x")).where("x IS NOT NULL")
-    edges = {"_min": F.min("x"), "_max": F.max("x")}
+    values = df.select(dec(col, 20, scale).alias("x")).where("x IS NOT NULL").groupBy("x").agg(F.count("*").alias("_n"))
+    # The edges ask for the count as well, for otherwise their plan would have a shuffle of its own.
+    there = F.when(F.col("_n") > 0, F.col("x"))
+    edges = {"_min": F.min(there), "_max": F.max(there)}
     half = F.when(F.col("_min") == F.col("_max"), F.lit(Decimal("0.5"))).otherwise(F.lit(Decimal("0.0")))
     lo, hi = F.col("_min") - half, F.col("_max") + half
     place = F.call_function("div", (F.col("x") - lo) * F.lit(Decimal(bins)), hi - lo)
     counts = (
         with_totals(values, values, edges)
-        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
-        .groupBy("bin").agg(F.count("*").alias("n"))
+        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), "_n")
+        .groupBy("bin").agg(F.sum("_n").alias("n"))
     )
     every = with_totals(
         df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")), values, edges

@@ -37,14 +37,17 @@ from exportlens.functions import (
 )
 from exportlens.operators.aggregates import arg_max, arg_min, drop_null, pivot, unpivot
 from exportlens.operators.enrich import TIER_EDGES
-from exportlens.operators.ranking import growth_pct, running_total, top_k_per, top_n, with_rank
+from exportlens.operators.ranking import growth_pct, rank_rollup, running_total, top_k_per, top_n
 from exportlens.operators.relative import (
     histogram,
     min_max_scale,
     ratio_to_max,
+    ratio_of,
     ratio_to_mean,
+    scaled_to,
     share_of_total,
     with_total,
+    with_totals,
 )
 from exportlens.plans import labels as L
 from exportlens.sources.warehouse import written
@@ -73,6 +76,7 @@ COMPONENT_LABELS = {
     "avg_port": "Port",
     "avg_last_mile": "Last Mile",
 }
+# Required labels.
 STATUS_LABELS = {
     "paid_on_time": "Paid On Time", "paid_late": "Paid Late", "pending": "Pending", "overdue": "Overdue",
 }
@@ -92,13 +96,17 @@ def _by(df: DataFrame, *keys: str):
 
 
 def score_markets(v2: DataFrame, weights: dict[str, Decimal] = PRIORITY_WEIGHTS) -> DataFrame:
-    """Readiness view plus gdp_score, final_score, revenue_potential, priority_score, entry_tier."""
-    df = min_max_scale(v2, {"gdp_per_capita_usd": "gdp_score"}, 1, 10, digits=2, scale=0)
-    df = df.withColumn("gdp_score", dec("gdp_score", 5, 2))
+    """Readiness view plus gdp_score, final_score, revenue_potential, priority_score, entry_tier.
+
+    The view is evaluated once and written, one row per market; all set measures come from one pass over that.
+    """
+    v2 = written(v2)
+    gdp, size = dec("gdp_per_capita_usd", 20, 0), dec("market_size_usd_mn", 20, 2)
+    df = with_totals(v2, v2, {"_lo": F.min(gdp), "_hi": F.max(gdp), "_most": F.max(size)})
+    df = df.withColumn("gdp_score", dec(scaled_to(gdp, F.col("_lo"), F.col("_hi"), 1, 10, digits=2, scale=0), 5, 2))
     parts = [F.col(c) * F.lit(w) for c, w in weights.items()] + [F.col("gdp_score") * F.lit(GDP_WEIGHT)]
     df = df.withColumn("final_score", dec(round_half_even(sum(parts[1:], parts[0]), 2), 5, 2))
-    df = ratio_to_max(df, "market_size_usd_mn", 10, name="revenue_potential")
-    df = df.withColumn("revenue_potential", dec("revenue_potential", 5, 2))
+    df = df.withColumn("revenue_potential", dec(ratio_of(size, F.col("_most"), 10, digits=2, scale=2), 5, 2)).drop("_lo", "_hi", "_most")
     blend = F.col("final_score") * F.lit(Decimal("0.65")) + F.col("revenue_potential") * F.lit(Decimal("0.35"))
     return df.withColumns({
         "priority_score": dec(round_half_even(blend, 2), 5, 2),
@@ -108,7 +116,7 @@ def score_markets(v2: DataFrame, weights: dict[str, Decimal] = PRIORITY_WEIGHTS)
 
 def market_ranking(scored: DataFrame) -> DataFrame:
     """Markets by falling priority with their position."""
-    return with_rank(scored, "priority_score", ["market_id"]).select(
+    return rank_rollup(scored, "priority_score", ["market_id"]).select(
         "rank", "market_id", "country", "region", "final_score", "priority_score", "entry_tier",
         "market_size_usd_mn",
     )
@@ -199,7 +207,7 @@ def landed_cost_rollup(v4: DataFrame) -> DataFrame:
 def landed_cost_by_market(v4: DataFrame) -> DataFrame:
     """Market means ranked by exporter margin, with the margin's traffic light."""
     rollup = landed_cost_rollup(v4)
-    ranked = with_rank(rollup, "avg_exporter_margin", ["country", "region"])
+    ranked = rank_rollup(rollup, "avg_exporter_margin", ["country", "region"])
     return ranked.withColumn("margin_band", margin_band("avg_exporter_margin"))
 
 
@@ -329,7 +337,7 @@ def revenue_mix(v14: DataFrame) -> DataFrame:
 
 def price_index_histogram(v7: DataFrame, bins: int = 30) -> DataFrame:
     """Distribution of the mean price index in equal bins."""
-    return histogram(written(drop_null(v7.select("avg_price_index"), "avg_price_index")), "avg_price_index", bins)
+    return histogram(drop_null(v7.select("avg_price_index"), "avg_price_index"), "avg_price_index", bins)
 
 
 def category_margin_bands(v14: DataFrame) -> DataFrame:
@@ -418,8 +426,9 @@ def demand_by_category(v11: DataFrame) -> DataFrame:
 
 def revenue_by_month_pivot(trend: DataFrame, years: list[int] | None = None) -> DataFrame:
     """One revenue column per year by month, with the peak-season flag."""
-    if years is None:  # every year of the data, one row each
-        years = sorted(row["fiscal_year"] for row in trend.select("fiscal_year").distinct().collect())
+    if years is None:  # the columns are every year of the data; the rollup, a row per month, is evaluated once and read
+        trend = written(trend)
+        years = trend.agg(F.array_sort(F.collect_set("fiscal_year"))).first()[0]
     wide = pivot(trend, "month_num", "fiscal_year", {y: f"revenue_{y}" for y in years}, F.sum("revenue_usd"))
     return wide.withColumn("is_peak", F.col("month_num").isin(*PEAK_MONTHS))
 

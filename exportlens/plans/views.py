@@ -1,8 +1,8 @@
 """The fifteen KPI views.
 
-Each view is a function of the tables it reads. Facts are filtered and aggregated by id before any
-dimension is attached, so the only row-level shuffles are the two fact-to-fact joins (landed cost
-and master summary). Aggregates are sums and counts, which combine on the map side; that also
+Each view is a function of the tables it reads. Facts are filtered and, where ids are few, aggregated by id before
+any dimension is attached; where ids are nearly unique (prices, seasons, landed cost) the names are attached first. The
+two fact-to-fact joins (landed cost and master summary) are on the key that the facts are bucketed by. Aggregates are sums and counts, which combine on the map side; that also
 defuses a key holding a large part of a fact. Averages divide once, at the end, exactly.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exportlens.functions import (
-    avg_when,
     band,
     count_when,
     days_since,
@@ -38,11 +37,14 @@ from exportlens.operators.aggregates import (
     with_distinct_counts,
     zero_fill,
 )
+from exportlens.operators.distinct import distinct_counts, join_counts
 from exportlens.operators.enrich import GDP_REFERENCE
 from exportlens.operators.ranking import rank_over_agg
 from exportlens.operators.relative import with_total, with_totals
 from exportlens.plans import labels as L
+from exportlens.sources.warehouse import written
 
+# Months of the season tags.
 PEAK_MONTHS, RAMP_MONTHS, SLOW_MONTHS = (11, 12, 1), (9, 10), (6, 7, 8)
 
 # Weights of the priority score; the GDP term is gdp / 65000 * 10 and may exceed 10.
@@ -145,20 +147,21 @@ def category_mix(orders: DataFrame, products: DataFrame) -> DataFrame:
     Share and concentration both come from the unrounded share.
     """
     live = not_cancelled(orders)
-    categorised = live.join(products.select("product_id", "category", "subcategory"), "product_id")
-    aggs = [
-        F.count("order_id").alias("total_orders"),
-        F.sum("quantity_units").alias("total_units"),
-        money_sum("total_fob_value_usd").alias("total_revenue_usd"),
-        money_sum("gross_profit_inr").alias("total_gp_inr"),
-        mean("gross_margin_pct", 2).alias("avg_margin_pct"),
-    ]
-    grouped = with_distinct_counts(
-        categorised, ["category", "subcategory"], aggs,
-        {"product_count": "product_id", "markets_served": "market_id", "unique_buyers": "customer_id"},
-    )
-    total = money_sum("total_fob_value_usd")
-    with_sum = with_total(grouped, live, total, "_total")
+    keys, names = ["category", "subcategory"], products.select("product_id", "category", "subcategory")
+    # The fact is reduced to one row per product before it meets a name; the total is that of these rows.
+    by_product = written(live.groupBy("product_id").agg(
+        F.count("order_id").alias("total_orders"), F.count("gross_margin_pct").alias("_margin_n"),
+        *sums(total_units="quantity_units", total_revenue_usd="total_fob_value_usd", total_gp_inr="gross_profit_inr", _margin="gross_margin_pct"),
+    ))
+    grouped = by_product.join(names, "product_id").groupBy(*keys).agg(
+        F.count("product_id").alias("product_count"),
+        *sums(total_orders="total_orders", total_units="total_units"),
+        money_sum("total_revenue_usd").alias("total_revenue_usd"), money_sum("total_gp_inr").alias("total_gp_inr"),
+        round_mean(F.sum("_margin"), F.sum("_margin_n"), 2).alias("avg_margin_pct"),
+    )
+    categorised = live.select("product_id", "market_id", "customer_id").join(names, "product_id")
+    grouped = join_counts(grouped, distinct_counts(categorised, keys, {"markets_served": "market_id", "unique_buyers": "customer_id"}), keys)
+    with_sum = with_total(grouped, by_product, money_sum("total_revenue_usd"), "_total")
     share = pct("total_revenue_usd", "_total", 2)
     # The squared share keeps 15 digits of the fraction, more than a double square would.
     fraction = round_ratio("total_revenue_usd", "_total", 15)
@@ -728,11 +731,10 @@ def master_summary(
         money("_loss", F.col("_s")).cast("decimal(26,2)").alias("total_return_loss_usd"),
     )
     # Distinct ids do not depend on the repetitions of the join; they are counted on their own columns.
-    of_live = lambda fact: fact.join(live.select("order_id"), "order_id", "left_semi")
-    summary = with_totals(summary, of_live(shipments), {"total_shipments": F.countDistinct("shipment_id")})
-    summary = with_totals(summary, of_live(returns), {"total_returns": F.countDistinct("return_id")})
-    return with_totals(summary, live, {
-        "total_buyers": F.countDistinct("customer_id"),
-        "markets_active": F.countDistinct("market_id"),
-        "products_exported": F.countDistinct("product_id"),
-    })
+    of_live = lambda fact, key: fact.select("order_id", key).join(live.select("order_id"), "order_id", "left_semi")
+    ids = lambda df, key: df.where(F.col(key).isNotNull()).select(key).distinct()
+    # Shipment and return ids are as sparse as order ids, so they are counted as rows; the dense ids as bitmaps.
+    summary = with_totals(summary, ids(of_live(shipments, "shipment_id"), "shipment_id"), {"total_shipments": F.count("shipment_id")})
+    summary = with_totals(summary, ids(of_live(returns, "return_id"), "return_id"), {"total_returns": F.count("return_id")})
+    return join_counts(summary, distinct_counts(
+        live, [], {"total_buyers": "customer_id", "markets_active": "market_id", "products_exported": "product_id"}), [])

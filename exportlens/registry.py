@@ -6,6 +6,7 @@ give decimals as doubles, whole numbers as bigints and dates as ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 from functools import lru_cache
@@ -22,16 +23,20 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from exportlens.functions import bin_right, padded_id, round_half_even, round_half_up
-from exportlens.operators import enrich, quality, ranking, relative
+from exportlens.functions import bin_right, dec, padded_id, round_half_even, round_half_up
+from exportlens.operators import distinct, enrich, quality, ranking, relative, series
 from exportlens.operators.aggregates import mode_by
 from exportlens.operators.sampling import sample_orders
 from exportlens.plans import analysis as A
 from exportlens.plans import Tables, view_builders
 from exportlens.sources.calendar import date_spine, dense_panel
 from exportlens.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
-from exportlens.sources.tables import register_tables, register_views, row_counts, view
-from exportlens.sources.testdata import AS_OF, RECENCY_AS_OF, StarTables
+from exportlens.plans.report import report_position
+from exportlens.sources.batches import BatchTable
+from exportlens.sources.rejects import reject_report, scan_with_rejects
+from exportlens.sources.statistics import file_extremes, file_row_counts
+from exportlens.sources.tables import read_table, register_tables, register_views, row_counts, view, write_csv
+from exportlens.sources.testdata import AS_OF, COPY_BITS, RECENCY_AS_OF, StarTables
 from exportlens.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,9 +135,10 @@ def _seasonality_factor(t: StarTables) -> DataFrame:
     return days.withColumn("factor", enrich.seasonality_factor("order_date"))
 
 
-def _return_economics(t: StarTables) -> DataFrame:
-    returns = t.raw_returns.drop("net_fob_price_usd", "order_date")
-    return enrich.return_economics(returns, t.fact_export_orders).select(
+def _return_economics(t: Warehouse) -> DataFrame:
+    """Both sides come from tables bucketed by order, so the join moves no row."""
+    returns = t.source.raw_returns.drop("net_fob_price_usd", "order_date")
+    return enrich.return_economics(returns, t["fact_export_orders"].select("order_id", "net_fob_price_usd", "order_date")).select(
         "return_id", "refund_amount_usd", "return_shipping_cost_usd", "net_loss_usd", "return_date",
         "return_month", "return_year",
     )
@@ -153,8 +159,8 @@ def _clamp_to_base(t: StarTables) -> DataFrame:
 
 
 def _with_lookup(t: StarTables) -> DataFrame:
-    """Payment terms of every order's customer, 30 days where the customer has no terms on file."""
-    on_file = t.dim_customers.where("customer_tier != 'Bronze'")
+    """Payment terms of every order's customer, 30 days where the customer is not on file or has no terms agreed."""
+    on_file = t.dim_customers.where("customer_tier != 'Class 4'")
     orders = t.raw("orders").select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_id"))
     return enrich.with_lookup(orders, on_file, "customer_id", {
         "payment_terms_days": enrich.DEFAULT_TERMS_DAYS, "customer_tier": None,
@@ -231,9 +237,9 @@ def _dq_not_null(t: Tables) -> DataFrame:
 
 
 def _sql_scan(t: Tables) -> DataFrame:
-    """Ad-hoc SQL over registered tables and a registered view."""
+    """Ad-hoc SQL over registered tables and registered views, all fifteen of them."""
     register_tables({"fact_export_orders": t["fact_export_orders"], "dim_markets": t["dim_markets"]})
-    register_views(t, {"payment_risk": VIEWS["payment_risk"]})
+    register_views(t, VIEWS)
     spark = view(t["dim_markets"].sparkSession, "payment_risk").sparkSession
     return spark.sql("""
         SELECT v.country, v.payment_risk_flag, count(*) AS big_orders
@@ -244,6 +250,57 @@ def _sql_scan(t: Tables) -> DataFrame:
         GROUP BY v.country, v.payment_risk_flag""")
 
 
+def _footer_counts(t: Warehouse) -> DataFrame:
+    """Rows of the loaded tables, from the footers of their files."""
+    return file_row_counts({name: t.footers(name) for name in t})
+
+
+def _footer_extremes(t: Warehouse) -> DataFrame:
+    """Least and greatest keys and quantities of the orders, from the footers."""
+    return file_extremes(t.footers("fact_export_orders"), ["order_id", "customer_id", "quantity_units"])
+
+
+def _batch_append(t: Warehouse) -> DataFrame:
+    """Returns loaded in two batches by year, one of them appended twice: rows and loss by year."""
+    returns = t["fact_returns"]
+    table = BatchTable(t.spark, f"{t.root}/batches-{uuid.uuid4().hex}", "fact_returns")
+    early = F.col("return_year") < 1998
+    table.append(returns.where(early), "early")
+    table.append(returns.where(~early), "late")
+    table.append(returns.where(early), "early")
+    return table.read().groupBy("return_year").agg(F.count(F.lit(1)).alias("row_count"), F.sum("net_loss_usd").alias("net_loss_usd"))
+
+
+def _csv_round_trip(t: Warehouse) -> DataFrame:
+    """Customers written as CSV, scanned with the declared schema and counted by market."""
+    path = f"{t.root}/csv-{uuid.uuid4().hex}"
+    write_csv(t["dim_customers"], path)
+    back = read_table(t.spark, path, "dim_customers")
+    return back.groupBy("market_id").agg(F.count(F.lit(1)).alias("row_count"), F.sum("credit_limit_usd").alias("credit_limit_usd"),
+                                         F.max("registration_date").alias("last_registration"))
+
+
+def _csv_rejects(t: Warehouse) -> DataFrame:
+    """Returns written as CSV with faults by id, scanned with rejects: rows that stay and rows by reason."""
+    path = f"{t.root}/csv-{uuid.uuid4().hex}"
+    key = F.shiftright("return_id", COPY_BITS)  # without the number of the copy
+    fault = lambda n, x, c: F.when(key % 50 == n, x).otherwise(F.col(c).cast("string")).alias(c)
+    changed = {"return_id": (3, F.lit(None)), "return_date": (7, F.lit("1998-02-30")), "return_quantity": (11, F.lit("many")),
+               "refund_amount_usd": (13, F.lit("12345678901.5")), "return_shipping_cost_usd": (17, F.lit("1.005")), "is_first_return": (19, F.lit("yes"))}
+    columns = SCHEMAS["fact_returns"].fieldNames()
+    write_csv(t["fact_returns"].select(*[fault(*changed[c], c) if c in changed else c for c in columns]), path)
+    rows, rejects = scan_with_rejects(t.spark, path, "fact_returns")
+    kept = rows.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("row_count"), F.sum("net_loss_usd").alias("net_loss_usd"))
+    return kept.unionByName(reject_report(rejects).withColumn("net_loss_usd", F.lit(None).cast("decimal(22,2)")))
+
+
+def _report(name: str) -> Callable[[Tables], DataFrame]:
+    """A view in the order of its report, with each row's place."""
+    def build(t: Tables) -> DataFrame:
+        return report_position(VIEWS[name](t), name)
+    return build
+
+
 # Formulas and checks over the source rows.
 FROM_SOURCE: dict[str, Callable[[StarTables], DataFrame]] = {
     "order_economics": _order_economics,
@@ -255,7 +312,6 @@ FROM_SOURCE: dict[str, Callable[[StarTables], DataFrame]] = {
     "target_price": _target_price,
     "demand_signals": _demand_signals,
     "seasonality_factor": _seasonality_factor,
-    "return_economics": _return_economics,
     "fx_daily_change": _fx_daily_change,
     "clamp_to_base": _clamp_to_base,
     "with_lookup": _with_lookup,
@@ -266,13 +322,21 @@ FROM_SOURCE: dict[str, Callable[[StarTables], DataFrame]] = {
     "rounding": _rounding,
     "dq_unique": lambda t: quality.dq_unique(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "growth_by_currency": lambda t: ranking.growth_pct(
-        t.raw_forex, "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4
-    ),
+        series.with_previous(t.raw_forex, ["currency_code"], ["date"], "rate_to_inr", "_before"),
+        "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4, previous="_before",
+    ).drop("_before"),
+    "running_total_by_currency": lambda t: series.with_running_total(
+        t.raw_forex, ["currency_code"], ["date"], "rate_to_inr"
+    ).select("currency_code", "date", "running_total"),
+    "running_events": lambda t: series.with_running_total(
+        t.raw("events").select("event_id", dec("value", 12, 2).alias("value")), [], ["event_id"], "value"
+    ).select("event_id", "running_total"),
 }
 
 # Views, checks, rankings and analysis over the loaded tables.
 FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     **VIEWS,
+    "return_economics": _return_economics,
     "sample_orders": lambda t: sample_orders(t["fact_export_orders"], 1000).select("order_id", "order_status"),
     # quality
     "row_counts": row_counts,
@@ -296,14 +360,23 @@ FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_domain": _dq_domain,
     "dq_domain_declared": _dq_domain_declared,
     "sql_scan": _sql_scan,
+    "footer_counts": _footer_counts,
+    "footer_extremes": _footer_extremes,
+    # loading
+    "batch_append": _batch_append,
+    "csv_round_trip": _csv_round_trip,
+    "csv_rejects": _csv_rejects,
+    # report order
+    **{f"report_{name}": _report(name) for name in ("product_export_scorecard", "customer_ltv", "landed_cost_analysis", "payment_risk")},
     # generic grouped and ranked operators
+    "buyers_by_period": lambda t: distinct.distinct_by_period(t["fact_export_orders"], "customer_id", "active_buyers"),
     "mode_by": lambda t: mode_by(t["fact_returns"], ["market_id"], "return_reason", name="top_reason"),
     "top_orders_per_market": lambda t: ranking.top_k_per(
         t["fact_export_orders"], ["market_id"], [F.col("total_fob_value_usd").desc(), F.col("order_id")], 3
     ).select("market_id", "rank", "order_id", "total_fob_value_usd"),
     "order_rank": lambda t: ranking.with_rank(
-        t["fact_export_orders"], "total_fob_value_usd", ["order_id"]
-    ).select("order_id", "total_fob_value_usd", "rank"),
+        t["fact_export_orders"].select("order_id", "total_fob_value_usd"), "total_fob_value_usd", ["order_id"]
+    ),
     "customer_share": lambda t: relative.share_of_total(
         t["fact_export_orders"].groupBy("customer_id").agg(F.sum("total_fob_value_usd").alias("revenue_usd")),
         "revenue_usd", 4,
@@ -312,6 +385,8 @@ FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "score_markets": _over_scores(lambda df: df),
     "market_ranking": _over_scores(A.market_ranking),
     "tier_markets": _over_scores(A.tier_markets, tier="Tier 3 - Monitor"),
+    "tier_1_markets": _over_scores(A.tier_markets, tier="Tier 1 - Enter Now"),
+    "tier_2_markets": _over_scores(A.tier_markets, tier="Tier 2 - Plan Entry"),
     "best_markets": _over_view("market_entry_readiness", A.best_markets),
     "score_breakdown": _over_scores(A.score_breakdown),
     "score_size_points": _over_scores(A.score_size_points),
@@ -319,11 +394,14 @@ FROM_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "landed_cost_by_market": _over_view("landed_cost_analysis", A.landed_cost_by_market),
     "landed_cost_by_category": _over_view("landed_cost_analysis", A.landed_cost_by_category),
     "demurrage_hotspots": _over_view("landed_cost_analysis", A.demurrage_hotspots),
+    "demurrage_top_10": _over_view("landed_cost_analysis", A.demurrage_hotspots, n=10),
     "high_cost_routes": _over_view("landed_cost_analysis", A.high_cost_routes),
     "cost_components": _over_view("landed_cost_analysis", A.cost_components),
     "cost_waterfall": _over_view("landed_cost_analysis", A.cost_waterfall),
     "top_products": _over_view("product_export_scorecard", A.top_products),
     "viability_list": _over_view("product_export_scorecard", A.viability_list, word="Star"),
+    "viability_list_growth": _over_view("product_export_scorecard", A.viability_list, word="Growth"),
+    "viability_list_review": _over_view("product_export_scorecard", A.viability_list, word="Review"),
     "viability_counts": _over_view("product_export_scorecard", A.viability_counts),
     "pricing_counts": _over_view("competitor_benchmark", A.pricing_counts),
     "top_underpriced": _over_view("competitor_benchmark", A.top_underpriced),
@@ -362,7 +440,10 @@ def _source(spark: SparkSession, path: str) -> StarTables:
 @lru_cache(maxsize=4)
 def loaded_tables(spark: SparkSession, path: str) -> Warehouse:
     """The written star tables of a session and folder, each loaded on first use."""
-    return Warehouse(spark, _source(spark, path), path)
+    source = StarTables(spark, path)
+    house = Warehouse(spark, source, path)
+    source.stage = house.stage
+    return house
 
 
 def _query(build: Callable[..., DataFrame], tables: Callable[[SparkSession, str], Tables]) -> Query:

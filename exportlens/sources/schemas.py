@@ -259,3 +259,10 @@ PARTITION_COLUMNS: dict[str, list[str]] = {
     "fact_market_demand": ["fiscal_year"],
     "fact_returns": ["return_year"],
 }
+
+# Facts that are joined to each other by order are bucketed and sorted by it instead, all in the same number of buckets.
+BUCKET_KEYS: dict[str, list[str]] = {
+    "fact_export_orders": ["order_id"],
+    "fact_shipment_details": ["order_id"],
+    "fact_returns": ["order_id"],
+}

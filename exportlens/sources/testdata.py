@@ -8,7 +8,7 @@ numeric, which is also the cheaper key type to shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from decimal import Decimal
 from functools import cached_property
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from exportlens.functions import clamp, dec, round_half_even
 from exportlens.operators import enrich
-from exportlens.sources.schemas import SCHEMAS
+from exportlens.sources.schemas import BUCKET_KEYS, SCHEMAS
 
 # Last day of the order dates' half-year; payments expected after it are pending.
 AS_OF = "2001-06-30"
@@ -65,6 +65,11 @@ def _mixed(order_id: str) -> Column:
     return F.shiftright(o, COPY_BITS) + o % COPIES * 104729
 
 
+def _dear(brand: Column) -> Column:
+    """Brands that are dear to make, so that low margins occur: those whose name ends in 3."""
+    return brand.endswith("3")
+
+
 def _yes(pred: Column) -> Column:
     return F.when(pred, F.lit("Y")).otherwise(F.lit("N"))
 
@@ -74,12 +79,23 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 class StarTables(Mapping[str, DataFrame]):
-    """Mapping of table name to a lazily built DataFrame over one test-data folder."""
+    """Mapping of table name to a lazily built DataFrame over one test-data folder.
+
+    ``stage`` (name, frame, keys), if set, writes the order lines with all their figures once; orders, shipments and
+    returns are then derived from that table, and orders are a projection of it.
+    """
+
+    stage: Callable[[str, DataFrame, list[str]], DataFrame] | None = None
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
+    @property
+    def staged(self) -> tuple[str, ...]:
+        """Tables that need no writing of their own."""
+        return ("fact_export_orders",) if self.stage else ()
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise KeyError(name)
@@ -99,7 +115,9 @@ class StarTables(Mapping[str, DataFrame]):
     @cached_property
     def dim_markets(self) -> DataFrame:
         k = F.col("n_nationkey")
-        tenth = lambda base, step, span: dec((F.lit(base) + k * step % span) * F.lit(Decimal("0.1")), 4, 1)
+        # One market in eight is better throughout, so that the upper tiers occur.
+        lift = F.when(k % 8 == 3, F.lit(25)).otherwise(F.lit(0))
+        tenth = lambda base, step, span: dec(F.least(F.lit(base) + k * step % span + lift, F.lit(99)) * F.lit(Decimal("0.1")), 4, 1)
         entries = [F.lit(x) for pair in REGION_OF_NAME.items() for x in pair]
         region = F.coalesce(F.try_element_at(F.create_map(*entries), F.col("r_name")), F.col("r_name"))
         df = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -139,8 +157,9 @@ class StarTables(Mapping[str, DataFrame]):
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("subcategory"),
             F.lit("House").alias("brand_name"),
-            dec(F.col("p_size") * F.lit(Decimal("0.1")), 8, 3).alias("weight_kg"),
-            dec(price * 40, 10, 2).alias("cogs_inr"),
+            # Heavy goods, so that freight tells regions apart.
+            dec(F.col("p_size") * F.lit(Decimal("12.5")), 8, 3).alias("weight_kg"),
+            dec(price * F.when(_dear(F.col("p_brand")), 70).otherwise(40), 10, 2).alias("cogs_inr"),
             dec(price * 2, 10, 4).alias("fob_price_usd"),
             _numbered("Material", k, 12).alias("primary_material"),
             _yes(k % 7 != 0).alias("is_handmade"),
@@ -164,7 +183,8 @@ class StarTables(Mapping[str, DataFrame]):
     @cached_property
     def dim_customers(self) -> DataFrame:
         k = F.col("c_custkey")
-        df = self.raw("customer").join(
+        # Some customers that order are not on file, so that orphans and missing lookups occur.
+        df = self.raw("customer").where(k % 97 != 5).join(
             self.dim_markets.select("market_id", "country"), F.col("c_nationkey") == F.col("market_id")
         )
         return df.select(
@@ -224,12 +244,19 @@ class StarTables(Mapping[str, DataFrame]):
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Every line item, with ``copy_no`` 0, 1, … among those of one (order, line number)."""
-        same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_linestatus",
-            "l_returnflag",
-        )
-        return self.raw("lineitem").withColumn("copy_no", F.row_number().over(same) - 1)
+        """Every line item, with ``copy_no`` 0, 1, … among those of one (order, line number).
+
+        Equal lines are counted on the map side before they are numbered, so repeats of one line are one row in the
+        window. More copies than an id has places for stop the load: ids would run into the next line's.
+        """
+        key = ["l_orderkey", "l_linenumber"]
+        rest = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_linestatus", "l_returnflag"]
+        distinct = self.raw("lineitem").groupBy(*key, *rest).agg(F.count(F.lit(1)).alias("_copies"))
+        upto = Window.partitionBy(*key).orderBy(*rest).rowsBetween(Window.unboundedPreceding, 0)
+        numbered = distinct.withColumn("_upto", F.sum("_copies").over(upto))
+        fits = F.assert_true(F.col("_upto") <= COPIES, F.lit("a line item has more copies than its id has places for"))
+        numbers = F.when(fits.isNull(), F.sequence(F.col("_upto") - F.col("_copies"), F.col("_upto") - 1))
+        return numbered.select(*key, *rest, F.explode(numbers).alias("copy_no"))
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -246,7 +273,9 @@ class StarTables(Mapping[str, DataFrame]):
             .when(number % 2 == 0, "Cancelled")
             .otherwise("Processing")
         )
-        unit_price = dec("l_extendedprice", 14, 2) / F.nullif(dec("l_quantity", 10, 0), F.lit(0))
+        # Prices are a quarter higher in the last two months, so that seasons differ.
+        season = F.when(F.month("o_orderdate") >= 11, F.lit(Decimal("1.25"))).otherwise(F.lit(Decimal("1.00")))
+        unit_price = dec(dec("l_extendedprice", 14, 2) * season, 16, 4) / F.nullif(dec("l_quantity", 10, 0), F.lit(0))
         df = self.lines.join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
             order_id.alias("order_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
@@ -281,7 +310,9 @@ class StarTables(Mapping[str, DataFrame]):
     def _orders_with_line(self) -> DataFrame:
         df = enrich.order_economics(self.order_lines)
         df = enrich.payment_status(enrich.payment_dates(df), AS_OF)
-        return enrich.calendar_columns(df, "order_date")
+        df = enrich.calendar_columns(df, "order_date")
+        df = df.select(*SCHEMAS["fact_export_orders"].fieldNames(), "l_linestatus", "l_returnflag", "l_suppkey")
+        return self.stage("order_lines", df, BUCKET_KEYS["fact_export_orders"]) if self.stage else df
 
     @cached_property
     def fact_export_orders(self) -> DataFrame:
@@ -328,7 +359,8 @@ class StarTables(Mapping[str, DataFrame]):
         """Our and three competitor prices per ship date, product and market."""
         best = F.max(dec("l_extendedprice", 10, 2)) * F.lit(Decimal("0.05"))
         grouped = (
-            self.lines.join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            # The dearest line of a group is the same with and without its copies, so these are not numbered here.
+            self.raw("lineitem").join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy(
                 F.col("l_shipdate").cast("date").alias("date"),
                 F.col("l_partkey").alias("product_id"),
@@ -369,7 +401,9 @@ class StarTables(Mapping[str, DataFrame]):
             )
             .agg(F.max(exact).alias("_peak"), F.floor(F.sum(exact)).cast("int").alias("daily_search_volume"))
         )
-        growth = round_half_even(F.col("_peak") * F.lit(Decimal("0.2")) - F.lit(20), 2)
+        # Some markets grow faster, so that every growth band occurs.
+        faster = F.when(F.col("market_id") % 8 == 7, F.lit(35)).when(F.col("market_id") % 8 == 6, F.lit(25)).otherwise(F.lit(0))
+        growth = round_half_even(F.col("_peak") * F.lit(Decimal("0.2")) - F.lit(20) + faster, 2)
         return grouped.withColumns({
             "google_trends_score": dec(round_half_even(clamp("_peak", Decimal("10.00"), Decimal("100.00")), 1), 5, 1),
             "yoy_search_growth_pct": dec(growth, 7, 2),

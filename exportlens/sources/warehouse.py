@@ -11,10 +11,14 @@ import hashlib
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from exportlens.sources.bucketed import write_bucketed
+from exportlens.sources.schemas import BUCKET_KEYS, PARTITION_COLUMNS
+from exportlens.sources.statistics import footer_scan
 from exportlens.sources.tables import load_table
 
 
@@ -59,14 +63,31 @@ class Warehouse(Mapping[str, DataFrame]):
         self._loaded: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
+    def stage(self, name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``df`` written once as a table bucketed by ``keys``, from which a source derives several of its tables."""
+        table = f"exportlens_{uuid.uuid4().hex}_{name}"
+        return write_bucketed(df, table, f"{self.root}/{name}", keys)
+
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock:
             if name not in self._loaded:
                 df, path = self.source[name], f"{self.root}/{name}"
-                load_table(df, path, name, mode="overwrite")
-                self._loaded[name] = self.spark.read.schema(df.schema).parquet(path)
+                if name in getattr(self.source, "staged", ()):
+                    self._loaded[name] = df  # a projection of a staged table
+                elif name in BUCKET_KEYS:
+                    self._loaded[name] = self.stage(name, df, BUCKET_KEYS[name])
+                else:
+                    load_table(df, path, name, mode="overwrite")
+                    self._loaded[name] = self.spark.read.schema(df.schema).parquet(path)
             return self._loaded[name]
 
+    def footers(self, name: str) -> DataFrame:
+        """A loaded table for counts and extremes from its files' footers."""
+        df = self[name]
+        folder = "order_lines" if name in getattr(self.source, "staged", ()) else name
+        partitions = set(PARTITION_COLUMNS.get(name, [])) if name not in BUCKET_KEYS else set()
+        return footer_scan(self.spark, f"{self.root}/{folder}", StructType([f for f in df.schema if f.name not in partitions]))
+
     def __iter__(self) -> Iterator[str]:
         return iter(self.source)
 
