@@ -7,15 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from exportlens.llm.common import bytes_column, window_hashes, word_cache, word_hashes
+from exportlens.llm.common import bytes_column, cut, free_columns, free_name, window_hashes, word_cache, word_hashes
 
 BUCKETS = 1 << 13  # hashed words
 FACTORS = 8
-MOST_ROWS = 6000  # labelled rows that a model is fitted on
+MOST_ROWS = 6000  # labelled documents that a model is fitted on
+MOST_INPUTS = 4_000_000  # distinct words of these documents together, 8 bytes each
 SPACES = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 STATS = ["log_words", "word_length", "capitals", "digits", "symbols", "bangs", "bars", "stops", "distinct", "repeated", "top_word",
@@ -115,12 +116,14 @@ def fit(rows: list[tuple], epochs: int = 12, step: float = 0.05, decay: float =
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_ROWS, held_out: int = 5) -> Model:
     """A model learnt from labelled documents outside the held-out fifth (crc32 of the id's text divisible by 5).
 
-    The ``most`` rows with the smallest id hashes are fitted; that bound keeps the sample small on the
-    driver, about 2 kB a row, and is the only part that doesn't use all data. Null labels and ids are left out.
+    The ``most`` documents with the smallest id hashes are fitted, as far as their distinct words number no more than
+    ``MOST_INPUTS``; these bounds keep the sample below about 50 MB on the driver, whatever the texts' length and however often
+    an id is repeated, and are the only part that doesn't use all data. Null labels and ids are left out. An id with several labels has the
+    largest one, an id with several texts that of the smallest hash.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
-    known = known.where(F.crc32(F.col("doc_id").cast("string")) % held_out != 0)
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    known = known.where(F.crc32(F.col("doc_id").cast("string")) % held_out != 0).groupBy("doc_id").agg(F.max("label").alias("label"))
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
     def run(batches):
         cache = word_cache()
@@ -131,28 +134,31 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                 names=["doc_id", "label", "at", "x", "stats"])
 
     # The sample has a proven bound of ``most`` ids.
-    joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
-    table = joined.mapInArrow(run, "doc_id long, label int, at array<int>, x array<float>, stats array<float>").toArrow()
-    rows = list(zip(*(table.column(c).to_pylist() for c in ("doc_id", "label", "at", "x", "stats"))))
-    rows.sort()
-    return fit([(np.array(at, np.int32), np.array(x, np.float32), np.array(s, np.float32), y) for _, y, at, x, s in rows])
+    joined = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    joined = joined.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))["text"].alias("text"))
+    inputs = cut(joined.mapInArrow(run, "doc_id long, label int, at array<int>, x array<float>, stats array<float>"))
+    # One row per sampled document, so the running sum is over ``most`` rows.
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    table = inputs.withColumn("upto", F.sum(F.size("at")).over(upto)).where(F.col("upto") <= MOST_INPUTS).orderBy("doc_id").toArrow()
+    lists = lambda name: [np.asarray(x.values) for x in table.column(name).combine_chunks()] if table.num_rows else []
+    return fit(list(zip(lists("at"), lists("x"), lists("stats"), table.column("label").to_pylist())))
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score", least: float | None = None) -> DataFrame:
     """``docs`` with the column ``name``: the chance of label 1, from 0 to 1; with ``least`` only rows that reach it.
 
-    A null text scores as an empty one, by its statistics of 0. Every whole text is read; rows are not
-    moved. An existing column of that name raises.
+    A null text scores as an empty one, by its statistics of 0. Every whole text is read, of any length; rows are not
+    moved, repeated rows are scored each, and no rows give no rows. An existing column of that name is replaced.
     """
-    if name in docs.columns:
-        raise ValueError(f"column {name} exists already")
+    stay = free_columns(docs, [name])
+    docs = docs.select(*[docs[c] for c in stay], docs["text"].alias(free_name(docs, "_text")))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(batches):
         cache, own = word_cache(), shared.value
         for batch in batches:
-            scores = pa.array([own.score(*features(t or b"", cache)) for t in bytes_column(batch.column("text"))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+            scores = pa.array([own.score(*features(t or b"", cache)) for t in bytes_column(batch.column(len(stay)))], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], scores], names=[*stay, name])
 
-    scored = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    scored = docs.mapInArrow(run, T.StructType([*docs.schema.fields[: len(stay)], T.StructField(name, T.DoubleType())]))
     return scored if least is None else scored.where(F.col(name) >= least)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from exportlens.llm.common import Cache, bytes_column, cut
+from exportlens.llm.common import Cache, bytes_column, cut, free_columns, free_name, stored
+from exportlens.operators.series import with_running_total
 
 TOPICS = 8
 TOPIC_WORD = 5  # bytes from which a word counts for the topic
@@ -22,28 +23,29 @@ RARE = 0.01  # part of a margin's target whose values, the rarest ones, don't li
 MISS = 1e-3  # part of a margin's target that chances of 1 in single cells may leave unreached
 
 
-def with_topic(docs: DataFrame) -> DataFrame:
-    """``docs`` with _mix_topic and _mix_tokens.
+def with_topic(docs: DataFrame, names: tuple[str, str], keep_text: bool = True) -> DataFrame:
+    """``docs`` with a text's topic and its number of words in two more columns; without the text itself if that isn't kept.
 
     The topic is the vocabulary class, of ``TOPICS``, that most of a text's longer words fall into by
     their CRC-32, the lowest of equals; a text without such words has the class of its first word,
     one without words 0. Tokens are words.
     """
-    fields = [T.StructField("_mix_topic", T.IntegerType()), T.StructField("_mix_tokens", T.LongType())]
+    stay = [c for c in docs.columns if keep_text or c.lower() != "text"]
+    fields = [T.StructField(names[0], T.IntegerType()), T.StructField(names[1], T.LongType())]
 
     def run(batches):
         cache = Cache(lambda w: zlib.crc32(w) % TOPICS if len(w) >= TOPIC_WORD else TOPICS)
         for batch in batches:
             topics, tokens = [], []
-            for text in bytes_column(batch.column("text")):
+            for text in bytes_column(batch.column(len(stay))):
                 words = (text or b"").split()
                 counts = np.bincount(np.fromiter(map(cache.__getitem__, words), np.int64, len(words)), minlength=TOPICS)[:TOPICS]
                 topics.append(int(counts.argmax()) if counts.any() else zlib.crc32(words[0]) % TOPICS if words else 0)
                 tokens.append(len(words))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topics, pa.int32()), pa.array(tokens, pa.int64())],
-                                             names=[*batch.schema.names, "_mix_topic", "_mix_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(topics, pa.int32()), pa.array(tokens, pa.int64())], names=[*stay, *names])
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + fields))
+    taken = docs.select(*[docs[c] for c in stay], docs["text"].cast("string").alias(free_name(docs, "_text")))
+    return taken.mapInArrow(run, T.StructType([docs.schema[c] for c in stay] + fields))
 
 
 def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
@@ -71,7 +73,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
         return _rake_few(cells, targets, tolerance, sweeps, most)
     cells = cells.coalesce(1 + count // CELLS_OF_A_TASK)
     last = float("inf")
-    table = {m: cut(targets[m].where("target > 0").select(F.col(m).alias("_m"), "target").coalesce(1)) for m in names}
+    table = {m: cut(targets[m].where("target > 0").select(F.col(m).alias("_m"), "target")) for m in names}
     for _ in range(sweeps):
         off = F.lit(0.0)
         for m in names:
@@ -125,27 +127,50 @@ def _shares(weights: DataFrame, aims: dict[str, DataFrame]) -> dict[str, DataFra
     out = {}
     for m, aim in aims.items():
         sums = weights.groupBy(F.col(m).alias("_k")).agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w"))
-        both = cut(sums.join(aim.select(F.col(m).alias("_m"), "target"), F.col("_k").eqNullSafe(F.col("_m"))).coalesce(1))
+        both = cut(sums.join(aim.select(F.col(m).alias("_m"), "target"), F.col("_k").eqNullSafe(F.col("_m"))))
         all_ = both.agg(F.sum("target"), F.sum("t"), F.sum("w")).first()
         out[m] = both.select(F.col("_k").alias(m), *[(F.col(c) / total).alias(n) for c, n, total in zip(("target", "t", "w"), ("target", "share", "reached"), all_)])
     return out
 
 
-def _largest_rate(target: np.ndarray, share: np.ndarray) -> float:
+def _ordered(shares: DataFrame, margin: str):
+    """target, share, ratio, targets, shares: a margin's values by tokens per target, with running sums.
+
+    A margin of up to ``FEW_CELLS`` values is one array each; the running sums of more values are spread over tasks.
+    """
+    df = shares.where("target > 0").select(F.col(margin).cast("string").alias("_v"), "target", "share", (F.col("share") / F.col("target")).alias("ratio"))
+    if df.count() <= FEW_CELLS:
+        table = df.toPandas().sort_values(["ratio", "_v"], na_position="first").drop(columns="_v").reset_index(drop=True)
+        return table.assign(targets=table["target"].cumsum(), shares=table["share"].cumsum())
+    df = with_running_total(df, [], ["ratio", "_v"], "target", "targets")
+    return cut(with_running_total(df, [], ["ratio", "_v"], "share", "shares").drop("_v"))
+
+
+def _largest_rate(ordered) -> float:
     """Rate up to which a margin's values have enough tokens, but for those hardest to reach that hold ``RARE`` of the target."""
-    ratio = share / target
-    order = np.argsort(ratio)
-    return min(1.0, float(ratio[order][np.searchsorted(np.cumsum(target[order]), RARE, side="right"):].min(initial=1.0)))
+    if isinstance(ordered, pd.DataFrame):
+        return min(1.0, float(ordered.loc[ordered["targets"] > RARE, "ratio"].min() if (ordered["targets"] > RARE).any() else 1.0))
+    ratio = ordered.where(F.col("targets") > RARE).agg(F.min("ratio")).first()[0]
+    return 1.0 if ratio is None else min(1.0, ratio)
+
 
+def _reachable(ordered, rate: float) -> float:
+    """Factor of the targets of which each value gets as much as it has, so that all is dealt.
 
-def _reachable(target: np.ndarray, share: np.ndarray, rate: float) -> float:
-    """Factor of the targets of which each value gets as much as it has, so that all is dealt."""
-    limit = share / rate
-    order = np.argsort(limit / target)
-    full, rest = np.cumsum(limit[order]), 1 - np.cumsum(target[order])
-    at = np.flatnonzero((limit / target)[order] * rest + full >= 1 - 1e-12)
-    k = int(at[0]) if len(at) else len(order) - 1
-    return (1 - (full[k - 1] if k else 0.0)) / float(target[order][k:].sum())
+    The values with the fewest tokens per target get all they have; the factor is what is left over what the others ask for. It is settled
+    by the first value that has enough for it.
+    """
+    if isinstance(ordered, pd.DataFrame):
+        t = ordered
+        enough = np.flatnonzero(t["ratio"] / rate * (1 - t["targets"]) + t["shares"] / rate >= 1 - 1e-12)
+        row = t.iloc[int(enough[0]) if len(enough) else len(t) - 1]
+        return float((1 - (row["shares"] - row["share"]) / rate) / (1 - (row["targets"] - row["target"])))
+    enough = F.col("ratio") / rate * (1 - F.col("targets")) + F.col("shares") / rate >= 1 - 1e-12
+    spare = (1 - (F.col("shares") - F.col("share")) / rate) / (1 - (F.col("targets") - F.col("target")))
+    row = ordered.select("ratio", "targets", enough.alias("enough"), spare.alias("spare")).agg(
+        F.min_by(F.when(F.col("enough"), F.col("spare")), F.when(F.col("enough"), F.struct("ratio", "targets"))).alias("first"),
+        F.max_by("spare", F.struct("ratio", "targets")).alias("last")).first()
+    return row["first"] if row["first"] is not None else row["last"]
 
 
 def _limited(weights: DataFrame, aims: dict[str, DataFrame], rate: float | None) -> tuple[DataFrame, float]:
@@ -155,16 +180,16 @@ def _limited(weights: DataFrame, aims: dict[str, DataFrame], rate: float | None)
     if rate is not None and rate <= least:
         return weights, rate
     margins = _shares(weights, aims)
-    values = {m: df.select("target", "share", "reached").toPandas() for m, df in margins.items()}
-    start = {m: float((v["target"] - v["reached"]).abs().sum() / 2) for m, v in values.items()}
-    arrays = {m: (v["target"].to_numpy(), v["share"].to_numpy()) for m, v in values.items()}
-    now = max(least, min(_largest_rate(*a) for a in arrays.values())) if rate is None else rate
+    unreached = F.sum(F.abs(F.col("target") - F.col("reached"))) / 2
+    start = {m: df.agg(unreached).first()[0] for m, df in margins.items()}
+    ordered = {m: _ordered(df, m) for m, df in margins.items()}
+    now = max(least, min(map(_largest_rate, ordered.values()))) if rate is None else rate
     bare = weights.drop("weight")
     while now > least:
-        scale = {m: _reachable(*a, now) for m, a in arrays.items()}
+        scale = {m: _reachable(df, now) for m, df in ordered.items()}
         goals = {m: margins[m].select(m, F.least(F.col("target") * scale[m], F.col("share") / now).alias("target")) for m in margins}
         found = cut(rake(bare, goals, most=1 / (tokens * now)))
-        missed = {m: df.agg(F.sum(F.abs(F.col("target") - F.col("reached"))) / 2).first()[0] for m, df in _shares(found, goals).items()}
+        missed = {m: df.agg(unreached).first()[0] for m, df in _shares(found, goals).items()}
         if rate is not None or all(missed[m] <= start[m] + MISS for m in missed):
             return found, now
         now = max(least, now * 0.95)
@@ -176,7 +201,7 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) / float(1 << 53)
 
 
-def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: int = 17, targets=None) -> DataFrame:
+def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: int = 17, targets=None, keep_text: bool = True) -> DataFrame:
     """``docs`` with columns mix_topic, mix_tokens, mix_probability and mix_sampled.
 
     The token weights of the (source, language, topic) cells are raked to the marginal targets: by
@@ -188,22 +213,24 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
     that the values of every margin have the tokens for, but for the rarest ones that together hold less than
     ``RARE`` of its target: these are sampled whole, as far as the margins allow, and set no limit to the others. The rate
     falls until single cells leave at most ``MISS`` of a margin unreached. The draw is a hash of doc_id and the
-    seed: it depends on no order, and a retry draws the same.
+    seed: it depends on no order, and a retry draws the same. Topics are those of :func:`with_topic`.
 
-    A document without words has no weight; it is sampled with the probability 1. Nulls in source or
+    A document without words has no weight and topic 0; it is sampled with the probability 1. Nulls in source or
     language are values of their own. Rows that share a doc_id share the draw; a null doc_id counts as one
-    id. No rows give no rows. A column of an output's name, or whose name begins with ``_mix_``, raises.
+    id. No rows give no rows. Texts of any length are taken whole, and each is measured once: the measured rows are written to the shared
+    folder, without the texts if ``keep_text`` is false. Other columns stay, but one named as an output is replaced. Tables of
+    cells and of a margin's values stay distributed; up to ``FEW_CELLS`` cells are raked in the driver's memory.
     """
     own = ["mix_topic", "mix_tokens", "mix_probability", "mix_sampled"]
-    if clash := [c for c in docs.columns if c in own or c.startswith("_mix_")]:
-        raise ValueError(f"columns exist already: {clash}")
-    slim = docs.select("doc_id", "source", "lang", "text")
-    cells = cut(with_topic(slim).groupBy("source", "lang", F.col("_mix_topic").alias("topic")).agg(F.sum("_mix_tokens").alias("tokens")))
+    if rate is not None and rate > 1:
+        raise ValueError(f"a rate of {rate} asks for more than all documents")
+    docs = docs.select(*free_columns(docs, own))
+    topic, count = free_name(docs, "_mix_topic"), free_name(docs, "_mix_tokens")
+    measured = stored(with_topic(docs, (topic, count), keep_text))
+    cells = cut(measured.groupBy("source", "lang", F.col(topic).alias("topic")).agg(F.sum(count).alias("tokens")))
     aims = {m: tempered(cells, m, power) for m in MARGINS if cells.agg(F.sum("tokens")).first()[0]}
     aims |= targets or {}
     weights = rake(cells, aims) if aims else cells.withColumn("weight", F.lit(0.0)).where("tokens > 0")
-    if rate is not None and rate > 1:
-        raise ValueError(f"a rate of {rate} asks for more than all documents")
     weights = cut(weights)
     total = weights.agg(F.sum("tokens"), F.sum("weight")).first()
     if total[0]:
@@ -212,9 +239,10 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
         chance = F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * (rate * total[0] / total[1]))
     else:
         chance = F.lit(1.0)
-    table = weights.select(F.col("source").alias("_mix_s"), F.col("lang").alias("_mix_l"), F.col("topic").alias("_mix_t"), chance.alias("_mix_p"))
-    df = with_topic(docs).join(table, F.col("source").eqNullSafe(F.col("_mix_s")) & F.col("lang").eqNullSafe(F.col("_mix_l"))
-                               & (F.col("_mix_topic") == F.col("_mix_t")), "left")
-    probability = F.when(F.col("_mix_tokens") == 0, F.lit(1.0)).otherwise(F.coalesce("_mix_p", F.lit(0.0)))
-    return df.select(*docs.columns, F.col("_mix_topic").alias("mix_topic"), F.col("_mix_tokens").alias("mix_tokens"),
+    keys = {c: free_name(measured, f"_mix_{c}") for c in ("s", "l", "t", "p")}
+    table = weights.select(F.col("source").alias(keys["s"]), F.col("lang").alias(keys["l"]), F.col("topic").alias(keys["t"]), chance.alias(keys["p"]))
+    df = measured.join(table, F.col("source").eqNullSafe(F.col(keys["s"])) & F.col("lang").eqNullSafe(F.col(keys["l"])) & (F.col(topic) == F.col(keys["t"])), "left")
+    probability = F.when(F.col(count) == 0, F.lit(1.0)).otherwise(F.coalesce(keys["p"], F.lit(0.0)))
+    stay = [c for c in measured.columns if c not in (topic, count)]
+    return df.select(*stay, F.col(topic).alias("mix_topic"), F.col(count).alias("mix_tokens"),
                      probability.alias("mix_probability"), (uniform(F.col("doc_id"), seed) < probability).alias("mix_sampled"))

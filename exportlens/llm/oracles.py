@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from exportlens.llm.licenses import COPYRIGHT, EQUIVALENT, KNOWN
+from exportlens.llm.licenses import KNOWN, KNOWN_DIGESTS
 
 WORD = r"[^\x20\x09-\x0D]+"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -36,19 +36,40 @@ NEAR_DUPLICATES = f"""WITH RECURSIVE
 SELECT doc_id, n::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept
 FROM docs LEFT JOIN comp USING (node)"""
 
-_canonical = "trim(regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' ')"
-for _old, _new in EQUIVALENT:
-    _canonical = f"replace({_canonical}, '{_old}', '{_new.replace('/', ' ')}')"
+# The rules of the licence scan, stated again: spellings, titles, and what makes a line a copyright statement.
+_SPELLINGS = {
+    "licence": "license", "sub license": "sublicense", "non commercial": "noncommercial", "non infringement": "noninfringement",
+    "copyright owner": "copyright holder", "organisation": "organization", "favour": "favor", "https": "http", "per cent": "percent",
+    "merchantibility": "merchantability", "acknowledgement": "acknowledgment",
+}
+
+
+def _normal(x: str) -> str:
+    out = f"trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ')"
+    for old, new in _SPELLINGS.items():
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+_TITLES = ["license", "unlicense", "the unlicense"] + [f"{the}{name}" for the in ("", "the ") for name in (
+    "mit license", "mit license mit", "isc license", "bsd license", "zlib license")] + [
+    "mit license expat", "isc license isc", "new bsd license", "simplified bsd license", "bsd 2 clause license", "the 2 clause bsd license",
+    "bsd 3 clause license", "the 3 clause bsd license", "bsd 3 clause new or revised license", "bsd 2 clause simplified license"]
+_STATES = r"""(regexp_matches(lower(x), '^[^a-z0-9©]*(portions )?(copyright|©|\(c\))[^a-z0-9©(]*(\(c\)|©|by\b|[0-9]{4}|<|\[)')
+  OR regexp_matches(lower(x), '^[^a-z0-9©]*(©|\(c\)).*\b(19|20)[0-9]{2}\b') OR regexp_matches(lower(x), '^[^a-z0-9]*all rights reserved[^a-z0-9]*$') OR regexp_matches(x, '^[^A-Za-z0-9]*(Portions )?Copyright[ \t]+[A-Z]'))"""
 
 LICENSES = f"""WITH texts AS (SELECT row_number() OVER () AS r, * FROM (
     SELECT doc_id, NULL AS license, coalesce(text, '') AS text FROM documents
     UNION ALL SELECT NULL, * FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}))),
   split AS (SELECT r, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM texts),
-  lines AS (SELECT r, line, {_canonical} AS t FROM split WHERE NOT regexp_matches(lower(x), '{COPYRIGHT}')),
+  lines AS (SELECT r, line, x, t FROM (SELECT *, {_normal("x")} AS t FROM split)
+    WHERE t <> '' AND NOT {_STATES} AND t NOT IN ({", ".join(map(_quoted, _TITLES))})),
   units AS (SELECT r, line, t FROM lines UNION ALL
-    SELECT r, 0, string_agg(t, ' ' ORDER BY line) FROM lines WHERE t <> '' GROUP BY r),
-  known AS (SELECT t, min(license) AS license FROM units JOIN texts USING (r) WHERE license IS NOT NULL AND line = 0 GROUP BY t)
-SELECT doc_id, line::BIGINT AS line, known.license FROM units JOIN texts USING (r) JOIN known USING (t) WHERE texts.license IS NULL"""
+    SELECT r, 0, {_normal("string_agg(x, ' ' ORDER BY line)")} FROM lines GROUP BY r),
+  known AS (SELECT digest, min(license) AS license FROM (
+    SELECT sha256(t) AS digest, license FROM units JOIN texts USING (r) WHERE license IS NOT NULL AND line = 0
+    UNION ALL SELECT * FROM (VALUES {", ".join(f"('{d}', {_quoted(a)})" for a, _, d in KNOWN_DIGESTS)})) GROUP BY digest)
+SELECT doc_id, line::BIGINT AS line, known.license FROM units JOIN texts USING (r) JOIN known ON digest = sha256(t) WHERE texts.license IS NULL"""
 
 EMBEDDINGS = f"""WITH RECURSIVE
   vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
@@ -68,23 +89,26 @@ SELECT page_id, size::BIGINT AS payload_bytes, array_to_string([substr('{BASE32}
   CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> lead THEN lead END AS refers_to
 FROM records"""
 
-LINES = f"""WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
-    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
-  hashed AS (SELECT *, ('0x' || substr(md5(x), 1, 2))::INT AS v FROM split),
-  rolled AS (SELECT *, (v + 31 * lag(v, 1, 0) OVER (PARTITION BY doc_id ORDER BY i)) % 4 = 0 AS last FROM hashed),
-  placed AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-    FROM rolled),
-  chunks AS (SELECT doc_id, place, string_agg(x, chr(10) ORDER BY i) AS chunk, count(*) AS n,
-    CASE WHEN count(*) > 1 THEN count(*) FILTER (regexp_matches(x, '{WORD}')) >= 2
-      ELSE sum(len(regexp_extract_all(x, '{WORD}'))) >= 50 END AS counts FROM placed GROUP BY doc_id, place),
-  judged AS (SELECT *, counts AND row_number() OVER (PARTITION BY chunk, counts ORDER BY doc_id, place) > 1 AS gone FROM chunks),
-  docs AS (SELECT doc_id, sum(n) AS n_lines, count(*) AS n_chunks, count(*) FILTER (gone) AS n_gone,
-    coalesce(sum(n) FILTER (gone), 0) AS lines_gone, coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS clean
-    FROM judged GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
-  coalesce(n_gone, 0)::BIGINT AS n_removed_chunks, coalesce(lines_gone, 0)::BIGINT AS n_removed_lines,
-  sha256(CASE WHEN d.text IS NOT NULL THEN clean END) AS clean_sha256
-FROM documents d LEFT JOIN docs USING (doc_id)"""
+LINES = f"""WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+  split AS (SELECT doc_id, l, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM docs),
+  words AS (SELECT *, len(regexp_extract_all(x, '{WORD}')) >= 50 AS long_i FROM split WHERE regexp_matches(x, '{WORD}')),
+  succ AS (SELECT doc_id, l, x, i, long_i, lead(i) OVER d AS j, lead(long_i) OVER d AS long_j,
+    coalesce(lead(i, 1) OVER d, len(l)) AS after_i, coalesce(lead(i, 2) OVER d, len(l)) AS after_j
+    FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+  windows AS (SELECT doc_id, i, x AS bytes, [{{'at': i, 'upto': after_i}}] AS ends FROM succ WHERE long_i
+    UNION ALL SELECT doc_id, i, array_to_string(l[i + 1 : j + 1], chr(10)), list_concat(
+      CASE WHEN NOT long_i THEN [{{'at': i, 'upto': j}}] ELSE [] END, CASE WHEN NOT long_j THEN [{{'at': j, 'upto': after_j}}] ELSE [] END)
+    FROM succ WHERE j IS NOT NULL),
+  judged AS (SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, i) = 1 AS stays, count(*) OVER (PARTITION BY bytes) AS n FROM windows),
+  marks AS (SELECT doc_id, stays, unnest(ends) AS e FROM judged WHERE n > 1),
+  gone AS (SELECT doc_id, e.at AS at, e.upto AS upto FROM marks GROUP BY ALL HAVING NOT bool_or(stays)),
+  runs AS (SELECT doc_id, count(*) FILTER (upto_before IS DISTINCT FROM at) AS n_chunks, sum(upto - at) AS n_gone
+    FROM (SELECT *, lag(upto) OVER (PARTITION BY doc_id ORDER BY at) AS upto_before FROM gone) GROUP BY doc_id),
+  clean AS (SELECT s.doc_id, string_agg(x, chr(10) ORDER BY i) AS t FROM split s
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = s.doc_id AND s.i >= g.at AND s.i < g.upto) GROUP BY s.doc_id)
+SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_removed_chunks, coalesce(n_gone, 0)::BIGINT AS n_removed_lines,
+  sha256(CASE WHEN l IS NOT NULL THEN coalesce(t, '') END) AS clean_sha256
+FROM documents d LEFT JOIN docs USING (doc_id) LEFT JOIN runs USING (doc_id) LEFT JOIN clean USING (doc_id)"""
 
 ORACLES = {
     "op2_minhash_near_dedup": NEAR_DUPLICATES,

@@ -14,26 +14,27 @@ from exportlens.llm.common import bytes_column, cut, window_hashes, word_cache,
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 WINDOW = 8
 FEW_WORDS = 20
 
-# Metric: (expression, least distance from the median to the upper threshold, lower threshold as well).
+# Metric: (expression, whether it has a lower threshold, whether it has an upper one). All of them vary among ordinary
+# documents, so that their quartiles lie apart.
 METRICS = {
-    "symbols_per_word": ("n_symbols / greatest(n_words, 1)", 0.25, False),
-    "shouts_per_word": ("n_bangs / greatest(n_words, 1)", 0.25, False),
-    "capital_share": ("n_capitals / greatest(word_chars, 1)", 0.3, False),
-    "repeated_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.4, False),
-    "repeated_words": ("n_repeat_words / greatest(n_words, 1)", 0.3, False),
-    "word_length": ("word_chars / greatest(n_words, 1)", 3.0, True),
+    "punctuation_share": ("n_punctuation / greatest(word_chars, 1)", False, True),
+    "capital_share": ("n_capitals / greatest(word_chars, 1)", False, True),
+    "word_length": ("word_chars / greatest(n_words, 1)", True, True),
+    "word_variety": ("CASE WHEN n_words > 1 THEN ln(greatest(n_distinct, 1)) / ln(n_words) ELSE 1 END", True, False),
 }
-FENCE = 4.0  # quartile distances from a quartile to its threshold
-ACCURACY = 0.01  # relative accuracy of the sketch
+FENCE = 5.0  # quartile distances from a quartile to its threshold
+ACCURACY = 0.001  # relative accuracy of the sketch
 LEAST_VALUE = 1e-4  # smaller values count as 0
-LEAST_GROUP = 200  # documents below which a group's sketch is merged into its language's
+PRIOR = 10  # documents that a group's language counts for beside its own ones, and all documents beside a language's
+LOWEST = -(1 << 20)  # bucket of the values that count as 0
 
 
 def _counts(text: bytes, cache) -> tuple[int, ...]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_bangs, n_capitals."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_punctuation, n_capitals, n_distinct."""
     words = text.split()
     chars = len(text.translate(None, CONTINUATION + SPACES))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
@@ -53,10 +54,11 @@ def _counts(text: bytes, cache) -> tuple[int, ...]:
             np.add.at(cover, at + WINDOW, -1)
             repeated = int((np.cumsum(cover[:-1]) > 0).sum())
     capitals = len(text) - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated, len(lines), text.count(b"!"), capitals
+    punctuation = len(text) - len(text.translate(None, PUNCTUATION))
+    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated, punctuation, capitals, len(set(words))
 
 
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bangs", "n_capitals"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_punctuation", "n_capitals", "n_distinct"]
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -83,7 +85,7 @@ def sketch(values: DataFrame, keys: list[str]) -> DataFrame:
     side and the result depends on no order. ``values`` has the keys, metric and value.
     """
     step = math.log((1 + ACCURACY) / (1 - ACCURACY))
-    bucket = F.when(F.col("value") <= LEAST_VALUE, F.lit(-(1 << 20))).otherwise(F.ceil(F.log("value") / step)).cast("int")
+    bucket = F.when(F.col("value") <= LEAST_VALUE, F.lit(LOWEST)).otherwise(F.ceil(F.log("value") / step)).cast("int")
     return values.groupBy(*keys, "metric", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -93,39 +95,46 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 def quantiles(sketches: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
     """(keys…, metric, total, one column per point): a value within the accuracy of each quantile."""
-    group = Window.partitionBy(*keys, "metric")
     step = math.log((1 + ACCURACY) / (1 - ACCURACY))
-    value = F.when(F.col("bucket") == -(1 << 20), 0.0).otherwise(2 * F.exp(F.col("bucket") * step) / (math.exp(step) + 1))
+    value = F.when(F.col("bucket") == LOWEST, 0.0).otherwise(2 * F.exp(F.col("bucket") * step) / (math.exp(step) + 1))
+    group = Window.partitionBy(*keys, "metric")
     run = sketches.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "total": F.sum("n").over(group), "value": value})
     return run.groupBy(*keys, "metric").agg(F.max("total").alias("total"), *[
         F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("value"))).alias(name) for name, q in points.items()])
 
 
+def blended(own: DataFrame, keys: list[str], of: DataFrame, of_keys: list[str]) -> DataFrame:
+    """(keys…, metric, total, q1, q3): quartiles of groups, mixed with those of the coarser group that each belongs to.
+
+    A group's sketch and the coarser one's are merged quantile by quantile, with the weights of their documents and of ``PRIOR``
+    documents. So a group counts the more the larger it is, without a jump.
+    """
+    named = of.select(*[F.col(c).alias(f"_{c}") for c in [*of_keys, "metric", "q1", "q3"]])
+    same = F.col("metric") == F.col("_metric")
+    for c in of_keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    mean = lambda c: ((F.col(c) * F.col("total") + F.col(f"_{c}") * PRIOR) / (F.col("total") + PRIOR)).alias(c)
+    return own.join(named, same).select(*keys, "metric", "total", mean("q1"), mean("q3"))
+
+
 def thresholds(measured: DataFrame) -> DataFrame:
     """(lang, source, metric, low, high) for every language and source of documents that pass the base rules.
 
-    Thresholds lie ``FENCE`` quartile distances outside the quartiles, and at least the metric's own
-    distance from the median. A group of fewer than ``LEAST_GROUP`` documents takes the merged sketch
-    of its language, a small language that of all documents.
+    All come from the quartiles of sketches: a threshold lies ``FENCE`` quartile distances outside its quartile. A group's
+    quartiles are mixed with those of its language, and a language's with those of all documents (:func:`blended`). A metric
+    that does not vary, its quartiles being equal, tells nothing there and has no threshold.
     """
     metrics = F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(e).cast("double").alias("value")) for m, (e, _, _) in METRICS.items()])
     values = measured.select("lang", "source", "base_failed", F.explode(metrics).alias("m")).where("NOT base_failed").select("lang", "source", "m.*")
     groups = cut(sketch(values, ["lang", "source"]))
-    points = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    own = quantiles(groups, ["lang", "source"], points)
-    by_lang = quantiles(merge(groups, ["lang"]), ["lang"], points)
-    for_all = quantiles(merge(groups, []), [], points)
-    named = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") if c in ("lang", "metric", "total", *points) else c for c in df.columns])
-    df = own.join(named(by_lang, "l"), (F.col("metric") == F.col("l_metric")) & F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-    df = df.join(named(for_all, "a"), F.col("metric") == F.col("a_metric"), "left")
-    pick = lambda c: F.when(F.col("total") >= LEAST_GROUP, F.col(c)).when(F.col("l_total") >= LEAST_GROUP, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    rules = F.create_map(*[F.lit(x) for m, (_, d, _) in METRICS.items() for x in (m, d)])
-    lower = [m for m, (_, _, low) in METRICS.items() if low]
-    df = df.select("lang", "source", "metric", *[pick(c).alias(c) for c in points]).withColumn("least", rules[F.col("metric")])
-    spread = FENCE * (F.col("q3") - F.col("q1"))
+    quartiles = lambda keys: quantiles(merge(groups, keys), keys, {"q1": 0.25, "q3": 0.75})
+    by_lang = blended(quartiles(["lang"]), ["lang"], quartiles([]), [])
+    df = blended(quartiles(["lang", "source"]), ["lang", "source"], by_lang, ["lang"]).withColumn("spread", F.col("q3") - F.col("q1"))
+    named = lambda which: [m for m, sides in METRICS.items() if sides[which]]
+    varies = F.col("spread") > 0
     return df.select("lang", "source", "metric",
-                     F.when(F.col("metric").isin(lower), F.least(F.col("q1") - spread, F.col("q2") - F.col("least"))).alias("low"),
-                     F.greatest(F.col("q3") + spread, F.col("q2") + F.col("least")).alias("high"))
+                     F.when(varies & F.col("metric").isin(named(1)), F.col("q1") - FENCE * F.col("spread")).alias("low"),
+                     F.when(varies & F.col("metric").isin(named(2)), F.col("q3") + FENCE * F.col("spread")).alias("high"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -146,7 +155,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rules = []
     for metric, (expression, _, _) in METRICS.items():
         limit, value = F.col("limits")[metric], F.expr(expression)
-        outside = F.coalesce((value > limit["high"]) | F.coalesce(value < limit["low"], F.lit(False)), F.lit(False))
+        outside = F.coalesce(value > limit["high"], F.lit(False)) | F.coalesce(value < limit["low"], F.lit(False))
         rules.append(F.when(outside, F.lit(metric)))
     failed = F.array_compact(F.array(*rules))
     return df.select("doc_id", *COUNTS[:5], "base_failed", (~F.col("base_failed") & (F.size(failed) == 0)).alias("kept"),

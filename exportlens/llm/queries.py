@@ -53,12 +53,12 @@ def adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = lines.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
-    return cleaned.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
 def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.mix(docs).drop("text")
+    return mixing.mix(docs, keep_text=False)
 
 
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:

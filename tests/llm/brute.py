@@ -99,34 +99,3 @@ def quality(text):
 
 def sha256(text):
     return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
-
-
-def line_chunks(text, window=2, divisor=4):
-    """Chunks as lists of lines."""
-    lines = text.split("\n")
-    values = [int(hashlib.md5(x.encode()).hexdigest()[:2], 16) for x in lines]
-    out, now = [], []
-    for i, line in enumerate(lines):
-        now.append(line)
-        if sum(values[i - k] * 31**k for k in range(window) if i >= k) % divisor == 0 or i == len(lines) - 1:
-            out.append(now)
-            now = []
-    return out
-
-
-def dedup_lines(docs, least_words=50):
-    """docs: [(doc_id, text)] with distinct ids. {doc_id: (chunks removed, lines removed, text)}"""
-    seen, out = set(), {}
-    for i, text in sorted(docs, key=lambda d: d[0]):
-        if text is None:
-            out[i] = (0, 0, None)
-            continue
-        kept, gone = [], []
-        for chunk in line_chunks(text):
-            full = sum(bool(words(x)) for x in chunk)
-            counts = full >= 2 if len(chunk) > 1 else len(words(chunk[0])) >= least_words
-            (gone if counts and tuple(chunk) in seen else kept).append(chunk)
-            if counts:
-                seen.add(tuple(chunk))
-        out[i] = (len(gone), sum(map(len, gone)), "\n".join("\n".join(c) for c in kept))
-    return out

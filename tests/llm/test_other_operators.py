@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import math
+import zlib
 
 import brute
+import brute_new
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -149,13 +151,39 @@ def test_raking_of_many_cells_agrees(spark, monkeypatch):
     assert few.keys() == many.keys() and all(abs(few[k] / many[k] - 1) < 1e-9 for k in few)
 
 
+def test_mixing_query_equals_brute_version(spark):
+    for folder in (SMALL, "/root/testdata/sf0.01"):
+        rows = queries.source_mixing(spark, folder).collect()
+        want = brute_new.mixture([(r["doc_id"], r["source"], r["lang"], r["mix_topic"], r["mix_tokens"]) for r in rows], mixing.RARE, mixing.MISS)
+        for r in rows:
+            assert abs(r["mix_probability"] - want[r["doc_id"]]) < 1e-6
+            assert r["mix_sampled"] == (brute_new.draw(r["doc_id"], 17) < r["mix_probability"])
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_rates_of_many_values(spark, monkeypatch, few):
+    """Rate and factor from running sums over tasks, and from arrays, equal those of a plain computation."""
+    monkeypatch.setattr(mixing, "FEW_CELLS", few)
+    rng = np.random.default_rng(4)
+    target, share = rng.pareto(1.0, 300) + 1e-3, rng.pareto(0.8, 300) + 1e-3
+    target, share = target / target.sum(), share / share.sum()
+    ordered = mixing._ordered(spark.createDataFrame([(f"h{k}", float(t), float(s)) for k, (t, s) in enumerate(zip(target, share))], "source string, target double, share double"), "source")
+    order = np.argsort(share / target)
+    ratio, t, s = (share / target)[order], target[order], share[order]
+    assert abs(mixing._largest_rate(ordered) - min(1.0, ratio[np.searchsorted(np.cumsum(t), mixing.RARE, side="right")])) < 1e-12
+    for rate in (0.3, 0.8, 1.0):
+        k = int(np.flatnonzero(ratio / rate * (1 - np.cumsum(t)) + np.cumsum(s) / rate >= 1 - 1e-12)[0])
+        want = (1 - (np.cumsum(s)[k] - s[k]) / rate) / t[k:].sum()
+        assert abs(mixing._reachable(ordered, rate) / want - 1) < 1e-9
+
+
 def test_mixing_messy(spark, messy, nothing):
     rows = mixing.mix(messy).collect()
     assert len(rows) == messy.count()
     assert all(r["mix_sampled"] and r["mix_probability"] == 1 for r in rows if r["mix_tokens"] == 0)
     assert mixing.mix(nothing).count() == 0 and mixing.mix(messy.where("text IS NULL")).count() == 2
-    with pytest.raises(ValueError):
-        mixing.mix(messy.withColumn("mix_topic", F.lit(1)))
+    clash = mixing.mix(messy.selectExpr("*", "1 AS mix_topic", "2 AS _mix_topic", "3 AS _mix_p", "4 AS _text", "'x' AS topic", "5 AS tokens", "6 AS weight"))
+    assert clash.count() == len(rows) and clash.columns.count("mix_topic") == 1 and {"_mix_topic", "weight"} <= set(clash.columns)
     with pytest.raises(ValueError):
         mixing.mix(messy, rate=1.5)
 
@@ -193,8 +221,32 @@ def test_classifier_messy(spark, messy, nothing):
     empty = classifier.train(messy, labels.limit(0))
     assert {r["score"] for r in classifier.with_score(messy, empty).collect()} == {0.5}
     assert classifier.with_score(nothing, model).count() == 0
-    with pytest.raises(ValueError):
-        classifier.with_score(messy.withColumn("score", F.lit(1)), model)
+    clash = classifier.with_score(messy.selectExpr("*", "1 AS score", "2 AS _text"), model)
+    assert clash.columns.count("score") == 1 and clash.where("score > 1").count() == 0 and clash.count() == len(rows)
+
+
+def test_classifier_sample_is_bounded(spark, monkeypatch):
+    """Repeated ids, many labels of an id and texts of many words don't make the sample larger."""
+    long = " ".join(f"w{k}" for k in range(9000))
+    docs = spark.createDataFrame([(1, long)] * 50 + [(k, f"some text number {k}") for k in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)] * 20, "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(classifier, "fit", lambda rows: seen.append(rows))
+    classifier.train(docs, labels)
+    assert len(seen[0]) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(1, 40))
+    monkeypatch.setattr(classifier, "MOST_INPUTS", 60)
+    classifier.train(docs, labels)
+    assert 0 < sum(len(r[0]) for r in seen[1]) <= 60
+
+
+def test_classifier_query_equals_brute_version(spark, documents):
+    labels = [(r["doc_id"], r["quality"]) for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()]
+    want = brute_new.quality_scores(documents[1], labels)
+    rows = queries.quality_classifier(spark, SMALL).collect()
+    assert {r["doc_id"] for r in rows} == set(want)
+    for r in rows:
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-4
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.3)
 
 
 # --- pipeline ---------------------------------------------------------------------------------

@@ -1,6 +1,8 @@
 """Tokens, near-duplicates, secrets, licences, quality rules and line dedup against plain versions."""
 
+import os
 import random
+import textwrap
 
 import brute
 import public_tokenizers
@@ -8,7 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from exportlens.llm import bpe, licenses, lines, minhash, quality, queries, secrets
+from exportlens.llm import bpe, licenses, minhash, quality, queries, secrets
 from exportlens.llm.graph import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -198,6 +200,43 @@ def test_license_texts(spark, messy, nothing):
     assert licenses.license_matches(messy, known=[]).count() == 0
 
 
+def _wrapped(text, width):
+    return "\n\n".join(textwrap.fill(part, width) for part in text.split("\n\n"))
+
+
+@pytest.mark.parametrize("width", [40, 76, 10_000])
+def test_usual_license_files(spark, width):
+    """Title, copyright lines and the body, wrapped or not."""
+    heads = {"MIT": "The MIT License (MIT)\n\nCopyright (c) 2019-2024 Some Body <some@body.org>\n\n", "ISC": "ISC License\n\nCopyright 2020, Some Body\n\n",
+             "BSD-3-Clause": "BSD 3-Clause License\n\nCopyright (c) 2021, Some Body\nAll rights reserved.\n\n", "BSD-2-Clause": "Copyright © Some Body and contributors\n\n",
+             "Zlib": "zlib License\n\n(C) 1995-2024 Some Body\n\n", "Unlicense": "The Unlicense\n\n"}
+    bodies = dict(licenses.KNOWN[:6])
+    rows = [(k, heads[name] + _wrapped(bodies[name], width)) for k, name in enumerate(heads)]
+    rows += [(100, "Copyright Somebody Else\n" + _wrapped(bodies["MIT"], width) + "\nand one word more")]
+    got = [tuple(r) for r in licenses.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).where("line = 0").collect()]
+    assert sorted(got) == [(k, 0, name) for k, name in enumerate(heads)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no licence texts on this machine")
+def test_long_licenses_by_digest(spark):
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = []
+    for k, file in enumerate(files):
+        with open(f"/usr/share/common-licenses/{file}", encoding="utf-8") as f:
+            text = f.read()
+        rows += [(k, text), (100 + k, " ".join(text.split("\n\n")[0].split()) + "\n" + text.split("\n\n", 1)[1].replace("  ", " ").upper())]
+    got = {r["doc_id"]: r["license"] for r in licenses.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).where("line = 0").collect()}
+    assert all(got[k] == name for k, name in enumerate(files.values()))
+
+
+def test_copyright_sentences_stay(spark):
+    lines_ = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS AND CONTRIBUTORS", "Copyright (c) 2020 X", "© 2020 X", "(c) X 2020",
+              "copyright 2020 x", "Copyright Some Body", "All rights reserved.", "the copyright (c) line", "// Copyright: by X", "copyrighted material 2020"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines_)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in df.select("doc_id", licenses._units(F.col("text"))[0]["text"].alias("t")).where("t <> ''").collect()}
+    assert kept == {0, 1, 8, 10}
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 def test_quality_counts(spark, documents, messy):
@@ -231,26 +270,3 @@ def test_quantile_sketches_merge(spark):
     r = quality.quantiles(whole, [], {"q1": 0.25, "q2": 0.5, "q3": 0.75}).first()
     assert r["total"] == 10_000 and all(abs(r[c] / v - 1) <= 0.0101 for c, v in (("q1", 2500), ("q2", 5000), ("q3", 7500)))
     assert sorted(whole.collect()) == sorted(quality.sketch(values, []).collect())
-
-
-# --- line dedup -------------------------------------------------------------------------------
-
-def test_line_dedup(spark, documents):
-    passage = " ".join(f"passage{k}" for k in range(60))
-    docs = documents[1] + [(20_000 + k, f"only {k}\n{passage}\nlast {k}") for k in range(5)] + [(30_000, ""), (30_001, None), (30_002, "\n\n\n"), (30_003, "\n\n\n")]
-    docs += [(40_000 + k, "\nc\nb\n".join([f"t{k}", "x y", "x y", "z"])) for k in range(3)]
-    got = lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
-    rows = {r["doc_id"]: (r["n_removed_chunks"], r["n_removed_lines"], r["clean_text"]) for r in got.collect()}
-    assert rows == brute.dedup_lines(docs)
-    assert sum(r[0] for r in rows.values()) > 0
-
-
-def test_line_dedup_messy(spark, messy, nothing):
-    rows = lines.dedup_lines(messy).collect()
-    assert len(rows) == messy.count()
-    assert all((r["clean_text"] is None) == (r["text"] is None) for r in rows)
-    twice = [r for r in rows if r["doc_id"] == 6]
-    assert len(twice) == 2 and twice[0] == twice[1]
-    assert lines.dedup_lines(nothing).count() == 0
-    with pytest.raises(ValueError):
-        lines.dedup_lines(messy.withColumn("n_lines", F.lit(1)))
