@@ -322,9 +322,9 @@ FROM_SOURCE: dict[str, Callable[[StarTables], DataFrame]] = {
     "rounding": _rounding,
     "dq_unique": lambda t: quality.dq_unique(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "growth_by_currency": lambda t: ranking.growth_pct(
-        series.with_previous(t.raw_forex, ["currency_code"], ["date"], "rate_to_inr", "_before"),
-        "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4, previous="_before",
-    ).drop("_before"),
+        series.with_previous(t.raw_forex, ["currency_code"], ["date"], "rate_to_inr", "_previous"),
+        "date", "rate_to_inr", part=["currency_code"], digits=4, scale=4, previous="_previous",
+    ).drop("_previous"),
     "running_total_by_currency": lambda t: series.with_running_total(
         t.raw_forex, ["currency_code"], ["date"], "rate_to_inr"
     ).select("currency_code", "date", "running_total"),

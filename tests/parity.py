@@ -74,7 +74,7 @@ def main() -> int:
     folder = f"/root/testdata/sf{scale}"
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
