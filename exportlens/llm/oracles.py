@@ -95,17 +95,17 @@ LINES = f"""WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM d
   succ AS (SELECT doc_id, l, x, i, long_i, lead(i) OVER d AS j, lead(long_i) OVER d AS long_j,
     coalesce(lead(i, 1) OVER d, len(l)) AS after_i, coalesce(lead(i, 2) OVER d, len(l)) AS after_j
     FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-  windows AS (SELECT doc_id, i, x AS bytes, [{{'at': i, 'upto': after_i}}] AS ends FROM succ WHERE long_i
+  windows AS (SELECT doc_id, i, x AS bytes, [{{'line': i, 'upto': after_i}}] AS ends FROM succ WHERE long_i
     UNION ALL SELECT doc_id, i, array_to_string(l[i + 1 : j + 1], chr(10)), list_concat(
-      CASE WHEN NOT long_i THEN [{{'at': i, 'upto': j}}] ELSE [] END, CASE WHEN NOT long_j THEN [{{'at': j, 'upto': after_j}}] ELSE [] END)
+      CASE WHEN NOT long_i THEN [{{'line': i, 'upto': j}}] ELSE [] END, CASE WHEN NOT long_j THEN [{{'line': j, 'upto': after_j}}] ELSE [] END)
     FROM succ WHERE j IS NOT NULL),
   judged AS (SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, i) = 1 AS stays, count(*) OVER (PARTITION BY bytes) AS n FROM windows),
   marks AS (SELECT doc_id, stays, unnest(ends) AS e FROM judged WHERE n > 1),
-  gone AS (SELECT doc_id, e.at AS at, e.upto AS upto FROM marks GROUP BY ALL HAVING NOT bool_or(stays)),
-  runs AS (SELECT doc_id, count(*) FILTER (upto_before IS DISTINCT FROM at) AS n_chunks, sum(upto - at) AS n_gone
-    FROM (SELECT *, lag(upto) OVER (PARTITION BY doc_id ORDER BY at) AS upto_before FROM gone) GROUP BY doc_id),
+  gone AS (SELECT doc_id, e.line AS line, e.upto AS upto FROM marks GROUP BY ALL HAVING NOT bool_or(stays)),
+  runs AS (SELECT doc_id, count(*) FILTER (upto_before IS DISTINCT FROM line) AS n_chunks, sum(upto - line) AS n_gone
+    FROM (SELECT *, lag(upto) OVER (PARTITION BY doc_id ORDER BY line) AS upto_before FROM gone) GROUP BY doc_id),
   clean AS (SELECT s.doc_id, string_agg(x, chr(10) ORDER BY i) AS t FROM split s
-    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = s.doc_id AND s.i >= g.at AND s.i < g.upto) GROUP BY s.doc_id)
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = s.doc_id AND s.i >= g.line AND s.i < g.upto) GROUP BY s.doc_id)
 SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_removed_chunks, coalesce(n_gone, 0)::BIGINT AS n_removed_lines,
   sha256(CASE WHEN l IS NOT NULL THEN coalesce(t, '') END) AS clean_sha256
 FROM documents d LEFT JOIN docs USING (doc_id) LEFT JOIN runs USING (doc_id) LEFT JOIN clean USING (doc_id)"""
