@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             found = fits(open_.join(leads, "bucket").where("label <> lead.label"))
         else:
             found = _prefix_pairs(open_, sets, percent)
-        links = cut(links.unionByName(_linked(found, sets, percent)))
+        links = links.unionByName(_linked(found, sets, percent))  # both sides are cut
 
     label = classes.join(components(links), "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     out = sketch.select("doc_id", "n", "print").join(label, "print", "left")
