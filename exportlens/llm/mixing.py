@@ -48,6 +48,11 @@ def with_topic(docs: DataFrame, names: tuple[str, str], keep_text: bool = True)
     return taken.mapInArrow(run, T.StructType([docs.schema[c] for c in stay] + fields))
 
 
+def _fitted(cells: DataFrame) -> DataFrame:
+    """``cells`` in one task per ``CELLS_OF_A_TASK``; the sums and joins of a table that fits one task need no shuffle."""
+    return cells.coalesce(1 + cells.count() // CELLS_OF_A_TASK)
+
+
 def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     """(margin, target): shares in proportion to the margin's tokens to the given power."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("t"))
@@ -188,7 +193,7 @@ def _limited(weights: DataFrame, aims: dict[str, DataFrame], rate: float | None)
     while now > least:
         scale = {m: _reachable(df, now) for m, df in ordered.items()}
         goals = {m: margins[m].select(m, F.least(F.col("target") * scale[m], F.col("share") / now).alias("target")) for m in margins}
-        found = cut(rake(bare, goals, most=1 / (tokens * now)))
+        found = _fitted(cut(rake(bare, goals, most=1 / (tokens * now))))
         missed = {m: df.agg(unreached).first()[0] for m, df in _shares(found, goals).items()}
         if rate is not None or all(missed[m] <= start[m] + MISS for m in missed):
             return found, now
@@ -218,7 +223,7 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
     A document without words has no weight and topic 0; it is sampled with the probability 1. Nulls in source or
     language are values of their own. Rows that share a doc_id share the draw; a null doc_id counts as one
     id. No rows give no rows. Texts of any length are taken whole, and each is measured once: the measured rows are written to the shared
-    folder, without the texts if ``keep_text`` is false. Other columns stay, but one named as an output is replaced. Tables of
+    folder, without the texts if ``keep_text`` is false. They meet their cells' chances in place where the cells are up to ``FEW_CELLS``. Other columns stay, but one named as an output is replaced. Tables of
     cells and of a margin's values stay distributed; up to ``FEW_CELLS`` cells are raked in the driver's memory.
     """
     own = ["mix_topic", "mix_tokens", "mix_probability", "mix_sampled"]
@@ -227,11 +232,11 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
     docs = docs.select(*free_columns(docs, own))
     topic, count = free_name(docs, "_mix_topic"), free_name(docs, "_mix_tokens")
     measured = stored(with_topic(docs, (topic, count), keep_text))
-    cells = cut(measured.groupBy("source", "lang", F.col(topic).alias("topic")).agg(F.sum(count).alias("tokens")))
+    cells = _fitted(cut(measured.groupBy("source", "lang", F.col(topic).alias("topic")).agg(F.sum(count).alias("tokens"))))
     aims = {m: tempered(cells, m, power) for m in MARGINS if cells.agg(F.sum("tokens")).first()[0]}
     aims |= targets or {}
     weights = rake(cells, aims) if aims else cells.withColumn("weight", F.lit(0.0)).where("tokens > 0")
-    weights = cut(weights)
+    weights = _fitted(cut(weights))
     total = weights.agg(F.sum("tokens"), F.sum("weight")).first()
     if total[0]:
         weights, rate = _limited(weights, aims, rate)
@@ -241,6 +246,8 @@ def mix(docs: DataFrame, power: float = 0.7, rate: float | None = None, seed: in
         chance = F.lit(1.0)
     keys = {c: free_name(measured, f"_mix_{c}") for c in ("s", "l", "t", "p")}
     table = weights.select(F.col("source").alias(keys["s"]), F.col("lang").alias(keys["l"]), F.col("topic").alias(keys["t"]), chance.alias(keys["p"]))
+    if table.count() <= FEW_CELLS:  # the documents then stay where they are
+        table = F.broadcast(table)
     df = measured.join(table, F.col("source").eqNullSafe(F.col(keys["s"])) & F.col("lang").eqNullSafe(F.col(keys["l"])) & (F.col(topic) == F.col(keys["t"])), "left")
     probability = F.when(F.col(count) == 0, F.lit(1.0)).otherwise(F.coalesce(keys["p"], F.lit(0.0)))
     stay = [c for c in measured.columns if c not in (topic, count)]
