@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exportlens.llm import bpe, classifier, lines, minhash, mixing
-from exportlens.llm.common import checkpoint_folder
+from exportlens.llm.common import checkpoint_folder, cut
 from exportlens.llm.queries import LEAST_SCORE, VOCABULARY
 
 
@@ -45,7 +45,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     docs = docs.select(COLUMNS)
     found = minhash.near_duplicates(docs)
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    gone = cut(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
+    if gone.count() <= minhash.FEW_IDS:  # the documents then stay where they are
+        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 
