@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from exportlens.plans import view_builders
-from exportlens.registry import loaded_tables
+from exportlens.registry import QUERIES, loaded_tables
 from exportlens.sources import tables as T
 from exportlens.sources.batches import BatchTable
 from exportlens.sources.bucketed import write_bucketed
@@ -60,6 +60,13 @@ def test_orders_are_a_projection_of_the_staged_lines(spark):
     assert tables["fact_export_orders"].count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
 
 
+def test_row_counts_hold_every_customer(spark):
+    """Those that order and are not on file are rows of the source too."""
+    counts = {r.table_name: r.row_count for r in QUERIES["row_counts"](spark, FOLDER).collect()}
+    assert counts["dim_customers"] == spark.read.parquet(f"{FOLDER}/customer.parquet").count()
+    assert counts["fact_export_orders"] == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+
+
 # --- batches --------------------------------------------------------------------------------
 
 
