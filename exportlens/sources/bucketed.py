@@ -20,7 +20,7 @@ def bucket_count(spark: SparkSession) -> int:
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """``df`` written once to ``path`` as catalog table ``table``, dealt and sorted by ``keys``; a scan of it.
 
-    One shuffle deals the rows to their buckets, so each bucket is one file. A table of that name is replaced. Keys
+    One shuffle deals the rows to their buckets, so each bucket is one file; Spark leaves it out if the rows lie so already. A table of that name is replaced. Keys
     should be nearly unique, as order ids are: a bucket is what one task reads in a join.
     """
     spark = df.sparkSession
@@ -28,6 +28,6 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], bu
     if not re.fullmatch(r"\w+", table):
         raise ValueError(f"not a plain table name: {table}")
     dealt = df.repartition(buckets, *keys)
-    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd")
     writer.bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]).saveAsTable(table)
     return spark.table(table)

@@ -38,19 +38,19 @@ def read_table(
     return reader.csv(path)
 
 
-def load_table(df: DataFrame, path: str, name: str, mode: str = "append") -> None:
+def load_table(df: DataFrame, path: str, name: str, mode: str = "append", dealt: bool = False) -> None:
     """Write a table as Parquet in one distributed job; ``mode="overwrite"`` recreates it.
 
     Facts are partitioned by year. The rebalance hint lets adaptive execution split a large year
     over many writers and merge small ones, so neither one task nor thousands of tiny files carry
-    a year.
+    a year. ``dealt`` says that the rows come dealt that way already.
     """
     columns = [f.name for f in SCHEMAS[name].fields]
     partitions = PARTITION_COLUMNS.get(name, [])
     out = df.select(*columns)
-    if partitions:
+    if partitions and not dealt:
         out = out.hint("rebalance", *[F.col(c) for c in partitions])
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from exportlens.plans import view_builders
 from exportlens.registry import QUERIES, loaded_tables
 from exportlens.sources import tables as T
+from exportlens.sources import testdata
 from exportlens.sources.batches import BatchTable
 from exportlens.sources.bucketed import write_bucketed
 from exportlens.sources.rejects import reject_report, scan_with_rejects
 from exportlens.sources.schemas import SCHEMAS
 from exportlens.sources.statistics import file_extremes, file_row_counts, footer_scan
+from exportlens.sources.warehouse import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -60,6 +62,23 @@ def test_orders_are_a_projection_of_the_staged_lines(spark):
     assert tables["fact_export_orders"].count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
 
 
+def test_lines_are_dealt_once_and_by_their_number(spark, no_broadcast, monkeypatch):
+    """Counting, numbering and the join with the orders share one shuffle; parts grow with the lines, not with the session."""
+    monkeypatch.setattr(testdata, "LINES_PER_BUCKET", 500)
+    source = testdata.StarTables(spark, FOLDER)
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+    assert source.buckets == -(-lines // 500) > 8
+    assert plan(source.lines).count("Exchange hashpartitioning") == 1
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    joined = plan(source.lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    assert joined.count("Exchange hashpartitioning") == 2
+    house = Warehouse(spark, source, FOLDER)
+    source.stage = house.stage
+    for name in ("fact_export_orders", "fact_shipment_details", "fact_returns"):
+        assert f"SelectedBucketsCount: {source.buckets} out of {source.buckets}" in plan(house[name].groupBy("order_id").count())
+    assert house["fact_export_orders"].count() == lines == source.lines.count()
+
+
 def test_row_counts_hold_every_customer(spark):
     """Those that order and are not on file are rows of the source too."""
     counts = {r.table_name: r.row_count for r in QUERIES["row_counts"](spark, FOLDER).collect()}
