@@ -47,6 +47,15 @@ def test_distinct_counts_of_text_ids_and_empty_groups(spark):
     assert distinct.join_counts(df.where("false").agg(F.count("*").alias("n")), distinct.distinct_counts(df.where("false"), [], {"ids": "i"}), []).first().ids == 0
 
 
+def test_counts_of_many_groups_hold_no_bitmaps(spark):
+    """A bitmap is 4 KB however few ids a group has, and none is shuffled in parts."""
+    df = spark.range(1000).select((F.col("id") % 500).alias("k"), (F.col("id") * 70001).alias("i"))
+    counts = distinct.distinct_counts(df, ["k"], {"ids": "i"})[0]
+    assert "bitmap" not in plan(counts) and counts.where("ids = 2").count() == 500
+    states = plan(distinct.distinct_states(df, ["k"], "i"))
+    assert "Exchange" not in states.split("partial_bitmap_construct_agg")[0]
+
+
 def test_views_with_distinct_counts_repeat_no_rows(spark):
     tables, views = loaded_tables(spark, FOLDER), view_builders("2001-08-01")
     for name in ("executive_revenue", "channel_performance", "master_summary"):
