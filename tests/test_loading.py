@@ -112,6 +112,35 @@ def test_repeated_and_failed_batches_change_nothing(spark, tmp_path):
     assert sorted(r["batch_id"] for r in table.manifest().collect()) == ["2024-01", "2024-02", "2024-03"]
 
 
+def test_shipments_and_prices_move_narrow(spark):
+    """The HSN code is looked up as narrowly as the weight; products are joined before the prices are dealt, with the figures made after."""
+    source = testdata.StarTables(spark, FOLDER)
+    width = lambda df: int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    part = source.raw("part")
+    text = part.select("p_partkey", F.format_string("%08d", F.col("p_partkey")).alias("hsn_code"))
+    number = part.select("p_partkey", testdata._hsn_number(F.col("p_partkey")).alias("hsn_code"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", (width(text) + width(number)) // 2)
+        assert "hashpartitioning(product_id" not in plan(source.fact_shipment_details)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        prices = plan(source.fact_competitor_pricing)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt, joined = prices.index("Exchange rangepartitioning"), prices.index("Exchange hashpartitioning(product_id")
+    assert dealt < joined  # the deal is nearer the root
+    assert "competitor1_price_usd" not in prices[dealt:]
+
+
+def test_figures_of_a_line_need_its_order_key_in_the_id_only(spark):
+    """Keys up to 2^39, line numbers and copies: the order key is had back from the order id."""
+    rows = [(k, n, c) for k in (0, 1, 7, 12345, 2**39) for n in (1, 7, 8, 12) for c in (0, 1, testdata.COPIES - 1)]
+    df = spark.createDataFrame(rows, "k long, n int, c long")
+    order_id = (F.col("k") * 8 + F.col("n")) * testdata.COPIES + F.col("c")
+    back = df.select("k", testdata.order_key(order_id, F.col("n")).alias("got"))
+    assert all(r.k == r.got for r in back.collect())
+
+
 def test_batches_of_two_writers_and_odd_names(spark, tmp_path):
     one, two = (BatchTable(spark, str(tmp_path / "t"), "fact_returns") for _ in range(2))
     assert one.append(returns(spark, 0, 5), "b") and not two.append(returns(spark, 0, 5), "b") and two.read().count() == 5
