@@ -12,11 +12,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from exportlens.llm.common import Cache, free_columns, free_name
+from exportlens.llm.common import Cache, free_columns, free_name, small_batches
 
 LATIN_END = "\u0250"  # end of the Latin blocks
 WORD = 8  # log2 of the bits in one bitmap word
 MASK = (1 << WORD) - 1
+# Texts of a batch that are Python strings at a time.
+TEXTS = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -69,8 +71,9 @@ class Codec:
         for token, rank in ranks.items():
             self.token[rank] = token
         self.name = [str(i) for i in range(size)]
-        # A pre-token's ids are kept as their text: small, and joined once instead of id by id.
-        self.known = Cache(lambda piece: " ".join([self.name[i] for i in self.piece(piece.encode())]), limit=800_000)
+        # A pre-token's ids are kept as their text: small, and joined once instead of id by id. Some 40 MB at most, as
+        # every worker of an executor has a cache of its own beside the heap.
+        self.known = Cache(lambda piece: " ".join([self.name[i] for i in self.piece(piece.encode())]))
         self.named = {name: self.token[i] for i, name in enumerate(self.name)}
 
     def piece(self, piece: bytes) -> tuple[int, ...]:
@@ -171,6 +174,12 @@ class Codec:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+def texts(column: pa.Array):
+    """The texts of a column, a few at a time as Python strings; a batch of long ones is not held twice."""
+    for at in range(0, len(column), TEXTS):
+        yield from column.slice(at, TEXTS).to_pylist()
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -204,7 +213,7 @@ def encode_column(df: DataFrame, path: str, pattern: str, text: str = "text", pr
         codec = _codec(key, ranks, pattern)
         for batch in batches:
             counts, digests, decoded, lists = [], [], [], []
-            for value in batch.column(len(stay)).to_pylist():
+            for value in texts(batch.column(len(stay))):
                 names = codec.encode_names(value or "")
                 counts.append(names.count(" ") + 1 if names else 0)
                 digests.append(hashlib.sha256(names.encode()).hexdigest())
@@ -216,4 +225,4 @@ def encode_column(df: DataFrame, path: str, pattern: str, text: str = "text", pr
             yield pa.RecordBatch.from_arrays(list(batch.columns)[: len(stay)] + columns, names=stay + [f.name for f in own])
 
     taken = df.select(*[df[c] for c in stay], df[text].alias(free_name(df, "_text")))
-    return taken.mapInArrow(run, T.StructType([df.schema[c] for c in stay] + own))
+    return small_batches(taken).mapInArrow(run, T.StructType([df.schema[c] for c in stay] + own))

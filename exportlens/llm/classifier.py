@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from exportlens.llm.common import bytes_column, cut, free_columns, free_name, window_hashes, word_cache, word_hashes
+from exportlens.llm.common import bytes_column, cut, free_columns, free_name, small_batches, window_hashes, word_cache, word_hashes
 
 BUCKETS = 1 << 13  # hashed words
 FACTORS = 8
@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     # The sample has a proven bound of ``most`` ids.
     joined = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
     joined = joined.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))["text"].alias("text"))
-    inputs = cut(joined.mapInArrow(run, "doc_id long, label int, at array<int>, x array<float>, stats array<float>"))
+    inputs = cut(small_batches(joined).mapInArrow(run, "doc_id long, label int, at array<int>, x array<float>, stats array<float>"))
     # One row per sampled document, so the running sum is over ``most`` rows.
     upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     table = inputs.withColumn("upto", F.sum(F.size("at")).over(upto)).where(F.col("upto") <= MOST_INPUTS).orderBy("doc_id").toArrow()
@@ -160,5 +160,5 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", least: float
             scores = pa.array([own.score(*features(t or b"", cache)) for t in bytes_column(batch.column(len(stay)))], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], scores], names=[*stay, name])
 
-    scored = docs.mapInArrow(run, T.StructType([*docs.schema.fields[: len(stay)], T.StructField(name, T.DoubleType())]))
+    scored = small_batches(docs).mapInArrow(run, T.StructType([*docs.schema.fields[: len(stay)], T.StructField(name, T.DoubleType())]))
     return scored if least is None else scored.where(F.col(name) >= least)

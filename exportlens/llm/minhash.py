@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from exportlens.llm.common import bytes_column, cut, list_column, mix, window_hashes, word_cache, word_hashes
+from exportlens.llm.common import bytes_column, cut, list_column, mix, small_batches, window_hashes, word_cache, word_hashes
 from exportlens.llm.graph import components
 
 BINS = 21  # log2 of the number of dimensions that are permuted
@@ -67,7 +67,7 @@ def _sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), list_column(lists, pa.int64())],
                 names=["doc_id", "n", "print", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, print binary, bands array<long>")
+    return small_batches(docs).mapInArrow(run, "doc_id long, n long, print binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -80,7 +80,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
     ids = cut(nodes.select(F.col("node").alias("doc_id")).distinct())
     wanted = docs.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "node long, items array<long>").where(F.size("items") > 0)
+    return small_batches(wanted).mapInArrow(run, "node long, items array<long>").where(F.size("items") > 0)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

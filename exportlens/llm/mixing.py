@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from exportlens.llm.common import Cache, bytes_column, cut, free_columns, free_name, stored
+from exportlens.llm.common import Cache, bytes_column, cut, free_columns, free_name, small_batches, stored
 from exportlens.operators.series import with_running_total
 
 TOPICS = 8
@@ -45,7 +45,7 @@ def with_topic(docs: DataFrame, names: tuple[str, str], keep_text: bool = True)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], pa.array(topics, pa.int32()), pa.array(tokens, pa.int64())], names=[*stay, *names])
 
     taken = docs.select(*[docs[c] for c in stay], docs["text"].cast("string").alias(free_name(docs, "_text")))
-    return taken.mapInArrow(run, T.StructType([docs.schema[c] for c in stay] + fields))
+    return small_batches(taken).mapInArrow(run, T.StructType([docs.schema[c] for c in stay] + fields))
 
 
 def _fitted(cells: DataFrame) -> DataFrame:

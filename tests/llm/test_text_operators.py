@@ -6,11 +6,13 @@ import textwrap
 
 import brute
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from exportlens.llm import bpe, licenses, minhash, quality, queries, secrets
+from exportlens.llm.common import BATCH_SETTING, CACHED_WORDS, small_batches
 from exportlens.llm.graph import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -51,6 +53,33 @@ def test_bpe_order_of_equal_and_falling_ranks():
         assert own.encode(text) == other.encode_ordinary(text)
 
 
+def test_bpe_memory_of_a_worker_is_bounded(codec):
+    """As many pre-tokens as other operators keep words, and few texts of a batch at a time; the ids are those without a cache."""
+    own = bpe.Codec(codec.ranks, PATTERN)
+    for i in range(0, 300_000, 1000):
+        own.encode_names(" ".join(f"w{j:x}q" for j in range(i, i + 1000)))
+    assert len(own.known) + len(own.known.old) <= CACHED_WORDS
+    text = "w1q w493dfq again w1q"
+    assert own.encode(text) == [i for piece in own.find(text) for i in own.piece(piece.encode())]
+    column = pa.array([None, "", *map(str, range(2 * bpe.TEXTS + 3))])
+    assert list(bpe.texts(column)) == column.to_pylist() and list(bpe.texts(column.slice(1, 0))) == []
+
+
+def test_batches_of_texts_are_small(spark):
+    """A worker gets a thousand texts at a time, or as few as the session says; Spark's default is ten thousand."""
+    before = spark.conf.get(BATCH_SETTING)
+    try:
+        for given, wanted in (("10000", 1000), ("0", 1000), ("300", 300)):
+            spark.conf.set(BATCH_SETTING, given)
+            rows = spark.range(2500, numPartitions=1).selectExpr("id AS doc_id", "'a b' AS text")
+            assert bpe.encode_column(rows, PATH, PATTERN).count() == 2500 and int(spark.conf.get(BATCH_SETTING)) == wanted
+        spark.conf.set(BATCH_SETTING, "10000")
+        sizes = small_batches(rows).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [len(b)]}) for b in bs), "n long").collect()
+        assert sum(r.n for r in sizes) == 2500 and max(r.n for r in sizes) == 1000
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def test_bpe_latin_pattern_finds_the_same(codec):
     rng = random.Random(5)
     for _ in range(2000):
