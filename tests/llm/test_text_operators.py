@@ -55,7 +55,7 @@ def test_bpe_order_of_equal_and_falling_ranks():
 
 def test_bpe_memory_of_a_worker_is_bounded(codec):
     """As many pre-tokens as other operators keep words, and few texts of a batch at a time; the ids are those without a cache."""
-    own = bpe.Codec(codec.ranks, PATTERN)
+    own = bpe.Codec(codec.ranks, PATTERN, cached=CACHED_WORDS)
     for i in range(0, 300_000, 1000):
         own.encode_names(" ".join(f"w{j:x}q" for j in range(i, i + 1000)))
     assert len(own.known) + len(own.known.old) <= CACHED_WORDS
