@@ -1,8 +1,10 @@
-"""What grows with the tables: parts of the shuffles."""
+"""What grows with the tables: parts of the shuffles, and what is moved for the products."""
 
 import pytest
 from test_loading import FOLDER, no_broadcast, plan  # noqa: F401
 
+from exportlens.plans import view_builders
+from exportlens.registry import loaded_tables
 from exportlens.session import PARTITIONS, size_shuffles
 from exportlens.sources import testdata
 
@@ -29,3 +31,10 @@ def test_all_shuffles_of_the_lines_grow_with_them(spark, no_broadcast, monkeypat
     assert parts > partitions
     text = plan(read(testdata.StarTables(spark, FOLDER)))
     assert f", {parts})" in text and f", {partitions})" not in text
+
+
+@pytest.mark.parametrize("name", ["seasonal_intelligence", "landed_cost_analysis", "returns_analysis"])
+def test_names_of_markets_are_not_moved_with_the_facts(spark, no_broadcast, name):  # noqa: F811
+    """The join with the products, which may shuffle the facts, comes before that with the markets."""
+    text = plan(view_builders("2001-08-01")[name](loaded_tables(spark, FOLDER)))
+    assert text.index("hashpartitioning(market_id") < text.index("hashpartitioning(product_id")
