@@ -7,6 +7,7 @@ from exportlens.plans import view_builders
 from exportlens.registry import loaded_tables
 from exportlens.session import PARTITIONS, size_shuffles
 from exportlens.sources import testdata
+from exportlens.sources.warehouse import Warehouse
 
 
 @pytest.fixture
@@ -38,3 +39,14 @@ def test_names_of_markets_are_not_moved_with_the_facts(spark, no_broadcast, name
     """The join with the products, which may shuffle the facts, comes before that with the markets."""
     text = plan(view_builders("2001-08-01")[name](loaded_tables(spark, FOLDER)))
     assert text.index("hashpartitioning(market_id") < text.index("hashpartitioning(product_id")
+
+
+def test_shipments_go_back_to_their_buckets_while_narrow(spark, no_broadcast):  # noqa: F811
+    """Products that are not broadcast move the lines, and not the texts and figures of the shipments."""
+    source = testdata.StarTables(spark, FOLDER)
+    house = Warehouse(spark, source, FOLDER)
+    source.stage = house.stage
+    text = plan(house.source["fact_shipment_details"])
+    back = text[text.index("Exchange hashpartitioning(order_id"):]
+    assert "weight_kg" in back and "shipping_line" not in back and "freight_cost_usd" not in back
+    assert house["fact_shipment_details"].count() > 0
