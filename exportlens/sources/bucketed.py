@@ -28,6 +28,6 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], bu
     if not re.fullmatch(r"\w+", table):
         raise ValueError(f"not a plain table name: {table}")
     dealt = df.repartition(buckets, *keys)
-    writer = dealt.write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd")
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd").option("parquet.writer.version", "v2")
     writer.bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]).saveAsTable(table)
     return spark.table(table)
